@@ -5,13 +5,14 @@ Regex dialect: ``(?U)`` gives ``\\w \\s \\b`` their Unicode meaning.
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from functools import lru_cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# No character from here on has a compatibility form with ASCII in it.
+LAST_FOLDED = 0x20000
 WORD_SPLIT = r"(?U)([^\p{L}]+|\p{L}+)"
 
 
@@ -51,7 +52,7 @@ def _folding() -> tuple[str, str, str]:
     """Compatibility folding to ASCII as a rule over Unicode: characters that fold to one
     ASCII character (two aligned strings), and the others as ``char=text`` pairs."""
     source, target, longer = [], [], []
-    for code in range(0x80, sys.maxunicode + 1):
+    for code in range(0x80, LAST_FOLDED):
         char = chr(code)
         folded = unicodedata.normalize("NFKD", char)
         if folded == char:

@@ -17,10 +17,14 @@ def translate_title(c: Column, terms=W.TITLE_TERMS, case_sensitive=W.CASE_SENSIT
 
 def clean_description(c: Column, source_keyword: str = S.Store.source_keyword,
                       kinds=W.UNWANTED_SENTENCES) -> Column:
-    """Drop promotional sentences, then tidy the gaps they leave. Blank stays as it is."""
+    """Drop promotional sentences, then tidy the gaps they leave. Blank stays as it is.
+
+    The look-behind lets a match begin at the start of a sentence only. Without it the same
+    sentences go, but every character of a long one is tried as a start.
+    """
     cleaned = c
     for kind in [source_keyword, *kinds]:
-        cleaned = F.regexp_replace(cleaned, f"(?iUd)[^<.!?]*(?:{kind})[^<.!?]*[.!?]?", "")
+        cleaned = F.regexp_replace(cleaned, f"(?iUd)(?<![^<.!?])[^<.!?]*(?:{kind})[^<.!?]*[.!?]?", "")
     cleaned = F.regexp_replace(cleaned, r"[ \t]{2,}", " ")
     cleaned = F.regexp_replace(cleaned, r"(?iU)(?:<br\s*/?>|\n){3,}", "<br>")
     return F.when(c == "", c).otherwise(strip(cleaned))
