@@ -17,6 +17,7 @@ from ..functions.similarity import best_in_tile, comparison_text
 from ..functions.text import filled
 from ..plans.skew import join_lookup
 from ..rules import settings as S
+from ..session import ensure_checkpoint_dir
 
 MATCH = (
     "array<struct<comp_ord:int,domain:string,name:string,title:string,price_eur:double,"
@@ -54,8 +55,12 @@ def offers_by_sku(offers: DataFrame) -> DataFrame:
 def match_by_sku(products: DataFrame, offers: DataFrame) -> DataFrame:
     """Add ``by_sku``: the sku matches of each product in store order (confidence 1)."""
     keyed = products.withColumn("sku_key", sku_key(F.col("sku")))
-    joined = join_lookup(keyed, offers_by_sku(offers), "sku_key", F.col("ord"))
-    return joined.drop("sku_key").withColumn("by_sku", F.coalesce("by_sku", F.array().cast(MATCH)))
+    return _with_sku_matches(keyed, keyed, offers).drop("sku_key")
+
+
+def _with_sku_matches(keyed: DataFrame, base: DataFrame, offers: DataFrame) -> DataFrame:
+    joined = join_lookup(keyed, offers_by_sku(offers), "sku_key", F.col("ord"), keys=base)
+    return joined.withColumn("by_sku", F.coalesce("by_sku", F.array().cast(MATCH)))
 
 
 def _length_bucket(threshold: float) -> Column:
@@ -128,30 +133,52 @@ def best_by_text(ours: DataFrame, theirs: DataFrame, threshold: float = S.MIN_CO
     )
 
 
-def match_by_text(products: DataFrame, offers: DataFrame, threshold: float = S.MIN_CONFIDENCE) -> DataFrame:
-    """Add ``by_text``: the most similar offer of each store at or above ``threshold``; equal
-    scores go to the earlier offer. Texts are scored once, however many rows share them."""
-    ours = products.withColumn("text", F.nullif(comparison_text(filled(F.col("brand")), filled(F.col("title"))), F.lit("")))
+def offers_by_text(texts: DataFrame, offers: DataFrame, threshold: float = S.MIN_CONFIDENCE) -> DataFrame:
+    """One row per distinct product text: its most similar offer of each store at or above
+    ``threshold``, in store order; equal scores go to the earlier offer.
+
+    Texts are scored once, however many rows share them. The text tables and the winners are
+    narrow and read several times, so they are checkpointed.
+    """
+    ensure_checkpoint_dir(texts.sparkSession)
     theirs = offers.withColumn("text", F.nullif(comparison_text(F.col("vendor"), F.col("title")), F.lit("")))
     firsts = theirs.filter("text IS NOT NULL").groupBy("text", "comp_ord").agg(F.min("offer_ord").alias("offer_ord"))
     carried = firsts.groupBy("text").agg(F.collect_list(F.struct("comp_ord", "offer_ord")).alias("x")).select(
         "text", F.col("x.comp_ord").alias("stores"), F.col("x.offer_ord").alias("offers")
-    )
-    best = best_by_text(ours.filter("text IS NOT NULL").select("text").distinct(), carried, threshold)
-    confidence = F.floor(F.col("score") * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0)
+    ).checkpoint()
+    ours = texts.filter("text IS NOT NULL").select("text").distinct().checkpoint()
     offer_key = F.struct("comp_ord", "offer_ord").alias("offer_key")
+    best = best_by_text(ours, carried, threshold).select("text", "score", offer_key).checkpoint()
+
+    confidence = F.floor(F.col("score") * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0)
     details = offers.select(offer_key, "comp_ord", "domain", "name", "title", "price_eur")
-    per_text = (
-        join_lookup(best.select("text", "score", offer_key), details, "offer_key", F.col("text"), "inner")
+    return (
+        join_lookup(best, details, "offer_key", F.col("text"), "inner")
         .groupBy("text").agg(F.sort_array(F.collect_list(_match(confidence))).alias("by_text"))
     )
-    joined = join_lookup(ours, per_text, "text", F.col("ord"))
-    return joined.drop("text").withColumn("by_text", F.coalesce("by_text", F.array().cast(MATCH)))
+
+
+def _text_key() -> Column:
+    return F.nullif(comparison_text(filled(F.col("brand")), filled(F.col("title"))), F.lit(""))
+
+
+def match_by_text(products: DataFrame, offers: DataFrame, threshold: float = S.MIN_CONFIDENCE) -> DataFrame:
+    """Add ``by_text``: the text matches of each product in store order."""
+    keyed = products.withColumn("text", _text_key())
+    return _with_text_matches(keyed, keyed, offers, threshold).drop("text")
+
+
+def _with_text_matches(keyed: DataFrame, base: DataFrame, offers: DataFrame, threshold: float) -> DataFrame:
+    joined = join_lookup(keyed, offers_by_text(base, offers, threshold), "text", F.col("ord"), keys=base)
+    return joined.withColumn("by_text", F.coalesce("by_text", F.array().cast(MATCH)))
 
 
 def match_all(products: DataFrame, offers: DataFrame, threshold: float = S.MIN_CONFIDENCE) -> DataFrame:
     """Add ``matches``: per store the sku match, else the text match, in store order."""
-    both = match_by_text(match_by_sku(products, offers), offers, threshold)
+    base = products.withColumn("sku_key", sku_key(F.col("sku"))).withColumn("text", _text_key())
+    both = _with_text_matches(_with_sku_matches(base, base, offers), base, offers, threshold)
     by_sku = F.col("by_sku.domain")
     others = F.filter("by_text", lambda m: ~F.array_contains(by_sku, m["domain"]))
-    return both.withColumn("matches", F.sort_array(F.concat("by_sku", others))).drop("by_sku", "by_text")
+    return both.withColumn("matches", F.sort_array(F.concat("by_sku", others))).drop(
+        "by_sku", "by_text", "sku_key", "text"
+    )

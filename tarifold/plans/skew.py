@@ -27,14 +27,18 @@ def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame
 
 
 def join_lookup(left: DataFrame, right: DataFrame, key: str, spread: Column, how: str = "left",
-                share: float = HEAVY_SHARE, salts: int = SALTS) -> DataFrame:
+                keys: DataFrame | None = None, share: float = HEAVY_SHARE, salts: int = SALTS) -> DataFrame:
     """Join rows to a table that has one row per key.
 
     ``spread`` is any row-unique column of ``left``. Rows of a heavy key are spread over
     ``salts`` partitions and its single right row is repeated as often; rows without a key
     are spread too, as they would otherwise share one partition of an outer join.
+
+    Heavy keys are counted over ``keys``, by default ``left`` itself. Where ``left`` is the
+    result of much work, pass the table its key comes from.
     """
-    heavy = F.broadcast(heavy_keys(left.select(key), key, share).withColumn("_heavy", F.lit(True)))
+    counted = (left if keys is None else keys).select(key)
+    heavy = F.broadcast(heavy_keys(counted, key, share).withColumn("_heavy", F.lit(True)))
     salted = left.join(heavy, key, "left").withColumn(
         "_salt",
         F.when(F.col(key).isNull() | F.col("_heavy"), F.pmod(F.xxhash64(spread), F.lit(salts)))

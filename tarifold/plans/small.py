@@ -14,9 +14,11 @@ def join_small(left: DataFrame, right: DataFrame, key: str, spread: Column, how:
                max_rows: int = MAX_ROWS) -> DataFrame:
     """Join to a configuration-like table with one row per key.
 
-    At most ``max_rows`` rows are read to learn its size. Within the limit it is broadcast and
-    ``left`` does not move; beyond it the join is the salted one.
+    At most ``max_rows + 1`` rows are read to learn its size. Within the limit those rows are
+    broadcast, ``left`` does not move and the table is not computed again; beyond it the join
+    is the salted one.
     """
-    if right.limit(max_rows + 1).count() <= max_rows:
-        return left.join(F.broadcast(right), key, how)
+    rows = right.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return left.join(F.broadcast(right.sparkSession.createDataFrame(rows, right.schema)), key, how)
     return join_lookup(left, right, key, spread, how)
