@@ -14,12 +14,10 @@ from ..functions import markup as M
 from ..functions.text import (
     first_filled, node_text, parse_price, plain_number, strip, strip_tags, text_or_blank, title_case,
 )
+from ..plans.once import computed_once
 from ..rules import dictionaries as D
 from ..rules import settings as S
-from .fitment import (
-    from_attribute_table, from_captioned_tables, merge_layers, normalize_brand, title_make,
-    title_model, title_year,
-)
+from .fitment import normalize_brand, with_fitment
 
 TEXTS = "array<string>"
 LD_NODE = (
@@ -86,15 +84,12 @@ def with_json_ld(pages: DataFrame, html: str = "html") -> DataFrame:
         M.scripts_of_type(F.col(html), r"application/ld\+json"), lambda s: F.try_parse_json(s).isNotNull()
     )
     join = lambda a, b: F.concat(a, b)
-    return (
-        pages.withColumn("_l0", F.transform(scripts, json_items))
-        .withColumn("_l1", F.transform("_l0", lambda ns: F.flatten(F.transform(ns, _children))))
-        .withColumn("_l2", F.transform("_l1", lambda ns: F.flatten(F.transform(ns, _children))))
-        .withColumn("_nodes", F.zip_with(F.zip_with("_l0", "_l1", join), "_l2", join))
-        .withColumn("json_ld", F.try_element_at(F.filter(F.flatten("_nodes"), _type_is_product), F.lit(1)))
-        .withColumn("_ld", F.from_json("json_ld", LD_NODE))
-        .drop("_l0", "_l1", "_l2", "_nodes")
-    )
+    top = computed_once(pages, _l0=F.transform(scripts, json_items))
+    below = computed_once(top, _l1=F.transform("_l0", lambda ns: F.flatten(F.transform(ns, _children))))
+    below = computed_once(below, _l2=F.transform("_l1", lambda ns: F.flatten(F.transform(ns, _children))))
+    nodes = F.flatten(F.zip_with(F.zip_with("_l0", "_l1", join), "_l2", join))
+    found = computed_once(below, json_ld=F.try_element_at(F.filter(nodes, _type_is_product), F.lit(1)))
+    return computed_once(found.drop("_l0", "_l1", "_l2"), _ld=F.from_json("json_ld", LD_NODE))
 
 
 def named_or_text(value: Column) -> Column:
@@ -252,26 +247,21 @@ def extract_products(pages: DataFrame) -> DataFrame:
     out once per field that uses them.
     """
     html, url = F.col("html"), F.col("url")
-    first_offer = F.try_element_at(json_items(F.col("_ld.offers")), F.lit(1))
-    staged = (
-        with_json_ld(pages)
-        .withColumn("_og", open_graph(html))
-        .withColumn("_offer", first_offer)
-        .withColumn("title", first_filled(
-            F.col("_ld.name"), og_value(F.col("_og"), "og:title"), dom_title(html), title_from_slug(url)))
-        .withColumn("_make", title_make(F.col("title")))
-        .withColumn("_title_fit", F.struct(
-            F.col("_make").alias("make"), title_model(F.col("title"), F.col("_make")).alias("model"),
-            title_year(F.col("title")).alias("year")))
-        .withColumn("_table_fit", from_captioned_tables(html))
-        .withColumn("_attr_fit", from_attribute_table(html))
-        .withColumn("price_raw", lowest_price(F.concat(
+    staged = computed_once(
+        with_json_ld(pages), _og=open_graph(html),
+        _offer=F.try_element_at(json_items(F.col("_ld.offers")), F.lit(1)),
+    )
+    staged = computed_once(
+        staged,
+        title=first_filled(
+            F.col("_ld.name"), og_value(F.col("_og"), "og:title"), dom_title(html), title_from_slug(url)),
+        price_raw=lowest_price(F.concat(
             F.array(ld_price(F.col("_offer")), parse_price(og_value(F.col("_og"), "og:price:amount"))),
-            dom_prices(html))))
-        .withColumn("breadcrumbs", breadcrumbs(html))
+            dom_prices(html))),
     )
+    found = with_fitment(staged.filter(is_product(F.col("title"), F.col("price_raw"))))
+    found = computed_once(found, breadcrumbs=breadcrumbs(html))
     og_image = og_value(F.col("_og"), "og:image")
-    found = staged.filter(is_product(F.col("title"), F.col("price_raw")))
     return found.select(
         "ord", "url", "title",
         first_filled(F.coalesce(F.nullif("_ld.sku", F.lit("")), "_ld.mpn"), dom_sku(html)).alias("sku"),
@@ -284,7 +274,7 @@ def extract_products(pages: DataFrame) -> DataFrame:
             ld_images(F.col("_ld.image")), gallery_images(html),
             usable_images(F.array(og_image), strip_copies=False), dom_images(html, url)).alias("images"),
         "breadcrumbs",
-        merge_layers(F.col("_table_fit"), F.col("_attr_fit"), F.col("_title_fit")).alias("fitment"),
+        "fitment",
         last_crumb(F.col("breadcrumbs")).alias("product_type"),
         first_filled(F.coalesce(F.nullif("_ld.gtin", F.lit("")), "_ld.gtin13")).alias("gtin"),
         first_filled(after_last_slash(F.get_json_object("_offer", "$.availability"))).alias("availability"),

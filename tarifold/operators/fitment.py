@@ -5,13 +5,14 @@ Three layers: a captioned compatibility table, an attribute table, the title.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import (
-    filled, lookup, node_text, node_text_spaced, search_any, strip, text_or_blank, title_case, unescape,
+    lookup, node_text, node_text_spaced, search_any, strip, text_or_blank, title_case, unescape,
 )
 from ..functions.years import clean_year
+from ..plans.once import computed_once
 from ..rules import dictionaries as D
 
 PARTS = ("make", "model", "year")
@@ -96,37 +97,36 @@ def title_model(title: Column, make: Column) -> Column:
     return F.when((make != "") & (F.length(bare) >= 2), bare).otherwise(F.lit(""))
 
 
-def from_title(title: Column, makes=D.MAKES) -> Column:
-    make = title_make(title, makes)
-    return F.struct(make.alias("make"), title_model(title, make).alias("model"), title_year(title).alias("year"))
-
-
-def merge_layers(table: Column, attributes: Column, title: Column) -> Column:
-    """Attributes count only where the table lacks make or model, the title only where
-    anything is still missing; the result is normalised."""
+def first_layer(part: str, table: Column, attributes: Column, title: Column) -> Column:
+    """Attributes count only where the table lacks make or model, the title where anything is
+    still missing."""
     need_attributes = (table["make"] == "") | (table["model"] == "")
+    blank = F.lit("")
+    second = F.when(need_attributes, F.nullif(attributes[part], blank))
+    return F.coalesce(F.nullif(table[part], blank), second, F.nullif(title[part], blank), blank)
 
-    def pick(part: str) -> Column:
-        second = F.when(need_attributes, attributes[part])
-        return F.coalesce(filled_raw(table[part]), filled_raw(second), filled_raw(title[part]), F.lit(""))
 
-    make = pick("make")
+def normalised(fit: Column) -> Column:
     return F.struct(
-        F.when(make != "", normalize_make(make)).otherwise(F.lit("")).alias("make"),
-        strip(pick("model")).alias("model"),
-        clean_year(pick("year")).alias("year"),
+        F.when(fit["make"] != "", normalize_make(fit["make"])).otherwise(F.lit("")).alias("make"),
+        strip(fit["model"]).alias("model"),
+        clean_year(fit["year"]).alias("year"),
     )
 
 
-def filled_raw(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
-
-
-def extract_fitment(html: Column, title: Column) -> Column:
-    return merge_layers(from_captioned_tables(html), from_attribute_table(html), from_title(title))
-
-
-__all__ = [
-    "extract_fitment", "filled", "from_attribute_table", "from_captioned_tables", "from_title",
-    "merge_layers", "normalize_brand", "normalize_make", "title_make", "title_model", "title_year",
-]
+def with_fitment(pages: DataFrame, html: str = "html", title: str = "title") -> DataFrame:
+    """Add ``fitment``. The make found in the title is a column of its own on the way, as the
+    model search starts from it."""
+    name = F.col(title)
+    layers = computed_once(
+        pages, _make=title_make(name), _table_fit=from_captioned_tables(F.col(html)),
+        _attr_fit=from_attribute_table(F.col(html)),
+    )
+    layers = computed_once(layers, _title_fit=F.struct(
+        F.col("_make").alias("make"), title_model(name, F.col("_make")).alias("model"),
+        title_year(name).alias("year")))
+    merged = computed_once(layers, _fit=F.struct(*[
+        first_layer(p, F.col("_table_fit"), F.col("_attr_fit"), F.col("_title_fit")).alias(p) for p in PARTS]))
+    return merged.withColumn("fitment", normalised(F.col("_fit"))).drop(
+        "_make", "_title_fit", "_table_fit", "_attr_fit", "_fit"
+    )

@@ -52,24 +52,23 @@ FROM nation JOIN region ON n_regionkey = r_regionkey
 OFFERS = f"""
 SELECT s.domain, s.comp_ord, l_suppkey * 1000000000 + l_partkey AS offer_ord, s.name, s.market,
   s.currency, s.includes_vat,
-  CASE WHEN max(l_discount) >= 1e-1 THEN ' sku-' || CAST(l_partkey AS STRING) ELSE '' END AS sku,
+  CASE WHEN deepest >= 1e-1 THEN ' sku-' || CAST(l_partkey AS STRING) ELSE '' END AS sku,
   {{title}} AS title, {{vendor}} AS vendor,
-  min(l_extendedprice) / 50e0 * CASE s.currency WHEN 'JPY' THEN 150e0 ELSE 1e0 END AS price_raw,
-  min(l_extendedprice) / 50e0 * CASE s.currency WHEN 'JPY' THEN 150e0 ELSE 1e0 END
-    / CASE WHEN s.includes_vat THEN 121e-2 ELSE 1e0 END AS price_eur
-FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN ({STORES}) s ON s.comp_ord = s_nationkey
+  asked * CASE s.currency WHEN 'JPY' THEN 150e0 ELSE 1e0 END AS price_raw,
+  asked * CASE s.currency WHEN 'JPY' THEN 150e0 ELSE 1e0 END / CASE WHEN s.includes_vat THEN 121e-2 ELSE 1e0 END AS price_eur
+FROM (SELECT l_partkey, l_suppkey, min(l_extendedprice) / 50e0 AS asked, max(l_discount) AS deepest, max(ascii(l_returnflag)) AS flag
+    FROM lineitem GROUP BY l_partkey, l_suppkey) l
+  JOIN supplier ON l_suppkey = s_suppkey JOIN ({STORES}) s ON s.comp_ord = s_nationkey
   JOIN part ON l_partkey = p_partkey
-GROUP BY s.domain, s.comp_ord, l_suppkey, l_partkey, s.name, s.market, s.currency, s.includes_vat,
-  p_name, p_brand, p_type
 """
 # Offer titles with the words of the article in another order, few distinct ones.
 NAME_OFFERS = OFFERS.format(
-    title="""CASE max(l_returnflag) WHEN 'R' THEN substr(p_name, strpos(p_name, ' ') + 1) || ' ' || substr(p_name, 1, strpos(p_name, ' ') - 1)
-      WHEN 'N' THEN p_name || ' kit' ELSE upper(p_name) END""".replace("strpos(p_name, ' ')", "instr(p_name, ' ')"),
+    title="""CASE flag WHEN 82 THEN substr(p_name, strpos(p_name, ' ') + 1) || ' ' || substr(p_name, 1, strpos(p_name, ' ') - 1)
+      WHEN 78 THEN p_name || ' kit' ELSE upper(p_name) END""".replace("strpos(p_name, ' ')", "instr(p_name, ' ')"),
     vendor="''")
 # Offer titles with brand, kind and article: many distinct ones.
 FULL_OFFERS = OFFERS.format(
-    title="""CASE max(l_returnflag) WHEN 'R' THEN p_name || ' ' || lower(p_type) WHEN 'N' THEN lower(p_type) || ' ' || p_name || ' kit'
+    title="""CASE flag WHEN 82 THEN p_name || ' ' || lower(p_type) WHEN 78 THEN lower(p_type) || ' ' || p_name || ' kit'
       ELSE upper(p_name) || ' ' || p_type END""", vendor="p_brand")
 
 # Products whose comparison text is the article name only, and with brand and kind.
