@@ -32,7 +32,12 @@ def tenths(c: Column) -> Column:
 
 
 def money_text(c: Column) -> Column:
-    return F.format_string("%.2f", cents(c))
+    """``12.50``; NULL stays NULL (a bare format would print the word null)."""
+    return F.when(c.isNotNull(), F.format_string("%.2f", cents(c)))
+
+
+def percent_text(c: Column) -> Column:
+    return F.when(c.isNotNull(), F.format_string("%.1f", c))
 
 
 def percentile(prices: Column, p: float) -> Column:

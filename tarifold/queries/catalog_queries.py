@@ -104,10 +104,11 @@ def _(t):
     path = t.scratch("fx")
     cube = F.concat(F.lit('<Cube currency="'), "currency", F.lit('" rate="'), c("rate").cast("string"), F.lit('"/>'))
     days = t.sql(I.FX).groupBy("rate_date").agg(F.array_join(F.collect_list(cube), "").alias("cubes"))
-    F_ = F.concat(
+    document = F.concat(
         F.lit('<gesmes:Envelope xmlns:gesmes="g"><Cube><Cube time="'), c("rate_date").cast("string"), F.lit('">'), "cubes",
         F.lit('<Cube currency="BAD" rate="n/a"/></Cube></Cube></gesmes:Envelope>'))
-    days.select(F_.alias("value")).write.text(path)
+    # One document per file, as the feed is published.
+    days.select(document.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return readers.fx_feed(t.spark, path).select("rate_date", "currency", F.round("rate", 6).alias("rate"))
 
 
