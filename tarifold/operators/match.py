@@ -121,7 +121,10 @@ def best_by_text(ours: DataFrame, theirs: DataFrame, threshold: float = S.MIN_CO
                     {"text": texts[a], "comp_ord": store, "score": score, "offer_ord": offer}
                 ))
         if not parts:
-            return pd.DataFrame({"text": [], "comp_ord": [], "score": [], "offer_ord": []})
+            return pd.DataFrame({
+                "text": pd.Series(dtype=object), "comp_ord": pd.Series(dtype="int32"),
+                "score": pd.Series(dtype="float64"), "offer_ord": pd.Series(dtype="int64"),
+            })
         return pd.concat(parts, ignore_index=True)
 
     found = left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(
