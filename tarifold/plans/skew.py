@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 HEAVY_SHARE = 1.0 / 10_000
 SALTS = 256
+MIN_HEAVY_ROWS = 1000
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame:
@@ -21,9 +22,19 @@ def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame
 
     Counting is map-side combined, so a heavy key costs one row per task.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    return counts.filter(F.col("_n") > F.greatest(total.scalar() * F.lit(share), F.lit(1000))).select(key)
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return _above_share(counts, key, share)
+
+
+def _above_share(counts: DataFrame, key: str, share: float) -> DataFrame:
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.filter(F.col("n") > F.greatest(total * F.lit(share), F.lit(MIN_HEAVY_ROWS))).select(key)
+
+
+def _as_local(heavy: DataFrame) -> DataFrame | None:
+    """The few heavy keys as a local table, None where there are none (the usual case)."""
+    rows = heavy.collect()
+    return heavy.sparkSession.createDataFrame(rows, heavy.schema) if rows else None
 
 
 def join_lookup(left: DataFrame, right: DataFrame, key: str, spread: Column, how: str = "left",
@@ -34,18 +45,21 @@ def join_lookup(left: DataFrame, right: DataFrame, key: str, spread: Column, how
     ``salts`` partitions and its single right row is repeated as often; rows without a key
     are spread too, as they would otherwise share one partition of an outer join.
 
-    Heavy keys are counted over ``keys``, by default ``left`` itself. Where ``left`` is the
-    result of much work, pass the table its key comes from.
+    Heavy keys are counted once, over ``keys``, by default ``left`` itself. Where ``left`` is
+    the result of much work, pass the table its key comes from.
     """
-    counted = (left if keys is None else keys).select(key)
-    heavy = F.broadcast(heavy_keys(counted, key, share).withColumn("_heavy", F.lit(True)))
-    salted = left.join(heavy, key, "left").withColumn(
-        "_salt",
-        F.when(F.col(key).isNull() | F.col("_heavy"), F.pmod(F.xxhash64(spread), F.lit(salts)))
-        .otherwise(F.lit(0)).cast("int"),
-    ).drop("_heavy")
-    copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(heavy, key, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
+    heavy = _as_local(heavy_keys((left if keys is None else keys).select(key), key, share))
+    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    if heavy is None:
+        salted = left.withColumn("_salt", F.when(F.col(key).isNull(), salt).otherwise(F.lit(0)))
+        repeated = right.withColumn("_salt", F.lit(0))
+    else:
+        marks = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
+        scattered = F.col(key).isNull() | F.col("_heavy")
+        salted = left.join(marks, key, "left").withColumn("_salt", F.when(scattered, salt).otherwise(F.lit(0)))
+        copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        repeated = right.join(marks, key, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
+        salted = salted.drop("_heavy")
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
@@ -55,7 +69,6 @@ def drop_matching(rows: DataFrame, keys: DataFrame, key: str, share: float = HEA
     Heavy keys go first, by a broadcast of at most ``1 / share`` of them and without moving
     any row; what is left to shuffle has no heavy key among the dropped ones.
     """
-    total = keys.agg(F.sum("n")).scalar()
-    heavy = keys.filter(F.col("n") > F.greatest(total * F.lit(share), F.lit(1000)))
-    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    heavy = _as_local(_above_share(keys, key, share))
+    rest = rows if heavy is None else rows.join(F.broadcast(heavy), key, "left_anti")
     return rest.join(keys.select(key), key, "left_anti")
