@@ -50,7 +50,7 @@ FROM nation JOIN region ON n_regionkey = r_regionkey
 # Offers: what a supplier asks for a part, in the store of the supplier's nation. Deeply
 # discounted lines name the sku, the others only a title.
 OFFERS = f"""
-SELECT s.domain, s.comp_ord, l_suppkey * 1000000000 + l_partkey AS offer_ord, s.name, s.market,
+SELECT s.domain, s.comp_ord, l_suppkey * 10000000000 + l_partkey AS offer_ord, s.name, s.market,
   s.currency, s.includes_vat,
   CASE WHEN deepest >= 1e-1 THEN ' sku-' || CAST(l_partkey AS STRING) ELSE '' END AS sku,
   {{title}} AS title, {{vendor}} AS vendor,

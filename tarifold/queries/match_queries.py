@@ -190,14 +190,12 @@ def _(t):
     return sold.select("ord", F.round("sale_price", 6).alias("sale_price"))
 
 
-@query("exact_fraction_of_lines", """
-WITH e AS (SELECT DISTINCT l_orderkey * 100000000000 + l_partkey * 100000 + l_suppkey AS id, l_returnflag FROM lineitem),
-r AS (SELECT id, row_number() OVER (ORDER BY md5('42|' || CAST(id AS VARCHAR)), id) AS rn, count(*) OVER () AS n FROM e WHERE l_returnflag = 'R')
-SELECT id FROM r WHERE rn <= round_even(CAST(n * 3e-1 AS DOUBLE), 0)""")
-def _(t):
-    lines = t.sql("SELECT DISTINCT l_orderkey * 100000000000 + l_partkey * 100000 + l_suppkey AS id, l_returnflag FROM lineitem")
-    # The id is unique per returned line; other lines may share it and are not eligible.
-    return sampling.exact_fraction(lines.filter("l_returnflag = 'R'"), F.lit(True), "id").filter("sampled").select("id")
+@query("exact_fraction_of_orders", """
+WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5('42|' || CAST(o_orderkey AS VARCHAR)), o_orderkey) AS rn, count(*) OVER () AS n FROM orders WHERE o_orderstatus = 'F')
+SELECT o_orderkey FROM r WHERE rn <= round_even(CAST(n * 3e-1 AS DOUBLE), 0)""")
+def _(t):
+    flagged = sampling.exact_fraction(t("orders"), c("o_orderstatus") == "F", "o_orderkey")
+    return flagged.filter("sampled").select("o_orderkey")
 
 
 @query("batch_pricing", f"""WITH RECURSIVE {ALL_MATCHES}, {DECISION}, {SALE}

@@ -14,9 +14,12 @@ c = F.col
 
 _DOCS = """SELECT doc_id AS ord, 'https://doc.example/' || md5(text) AS url, lang || ' ' || source AS title,
   CASE WHEN n_chars % 7 = 0 THEN '' WHEN n_chars % 11 = 0 THEN '  ' ELSE ' S' || CAST(n_chars % 400 AS STRING) END AS sku FROM documents"""
+
+
 # Walks the rows one by one and carries the keys seen on kept rows.
-_WALK = f"""
-rows_in AS MATERIALIZED (SELECT *, trim(sku) AS k, row_number() OVER (ORDER BY ord) AS n FROM ({_DOCS}) d),
+def _walk(rows: str) -> str:
+    return f"""
+rows_in AS MATERIALIZED (SELECT *, trim(sku) AS k, row_number() OVER (ORDER BY ord) AS n FROM ({rows}) d),
 walk(n, skus, urls, keep) AS (
   SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), false
   UNION ALL
@@ -26,6 +29,9 @@ walk(n, skus, urls, keep) AS (
 )"""
 
 
+_WALK = _walk(_DOCS)
+
+
 def flagged(t):
     return dedupe.keep_first_by_two_keys(t.sql(_DOCS))
 
@@ -48,13 +54,13 @@ def _(t):
     return duplicate_count(flagged(t))
 
 
-# Every line of every order: the sku is the part, the address the order.
-@query("greedy_deduplication_of_lines")
+_ORDERS = """SELECT o_orderkey AS ord, CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE 'C' || CAST(o_custkey AS STRING) END AS sku,
+  CAST(CAST(o_orderdate AS DATE) AS STRING) || o_orderstatus AS url FROM orders"""
+
+
+@query("greedy_deduplication_of_orders", f"WITH RECURSIVE {_walk(_ORDERS)} SELECT r.ord, w.keep AS kept FROM walk w JOIN rows_in r ON r.n = w.n")
 def _(t):
-    lines = t.sql("""SELECT l_orderkey * 100000000000000 + l_partkey * 1000000 + l_suppkey * 10 + l_linenumber AS ord,
-      CASE WHEN l_returnflag = 'N' THEN '' ELSE CAST(l_partkey AS STRING) END AS sku, CAST(l_orderkey AS STRING) AS url FROM lineitem""")
-    first = lines.groupBy("ord").agg(F.min("sku").alias("sku"), F.min("url").alias("url"))
-    return dedupe.keep_first_by_two_keys(first).select("ord", "kept")
+    return dedupe.keep_first_by_two_keys(t.sql(_ORDERS)).select("ord", "kept")
 
 
 _TITLES = """SELECT p_partkey AS ord, CASE WHEN p_size = 1 THEN '---' WHEN p_size = 2 THEN 'Product'
