@@ -55,7 +55,8 @@ class Encoded:
         """Occurrences of each alphabet character per text."""
         rows = np.repeat(np.arange(len(self.codes)), self.codes.shape[1])
         table = np.bincount(rows * (size + 1) + self.codes.ravel(), minlength=len(self.codes) * (size + 1))
-        kind = np.uint16 if self.codes.shape[1] < 65_536 else np.uint32
+        longest = self.codes.shape[1]
+        kind = np.uint8 if longest < 256 else np.uint16 if longest < 65_536 else np.uint32
         return table.reshape(len(self.codes), size + 1)[:, :size].astype(kind)
 
 
@@ -142,36 +143,54 @@ def best_in_tile(ours: list[str], theirs: list[str], stores: list[np.ndarray],
     """Best offer per (our text, store) among the texts of one tile.
 
     ``stores[j]`` and ``offers[j]`` list the stores that carry text ``j`` and their earliest
-    offer. Length and shared-character bounds, both lossless, come before the exact score.
-    Yields ``(our position, store, score, offer)`` arrays.
+    offer. The shared-character bound is never below the score, so pairs are scored from the
+    highest bound down, and a pair whose bound is under what our text has already reached in
+    every store cannot win and is not scored. Yields ``(our position, store, score, offer)``
+    arrays.
     """
     alphabet = alphabet_of(ours)
     size = len(alphabet)
     left, right = Encoded(ours, alphabet), Encoded(theirs, alphabet)
-    left_counts, right_counts = left.counts(size), right.counts(size)
+    left_counts = left.counts(size)
+    # A count beyond what the left type holds cannot change a minimum with a left count.
+    most = np.iinfo(left_counts.dtype).max
+    right_counts = np.minimum(right.counts(size), most).astype(left_counts.dtype)
     masks = position_masks(left, size)
     carried = np.array([len(s) for s in stores], dtype=np.int64)
-    first = np.concatenate([[0], np.cumsum(carried)[:-1]])
-    all_stores, all_offers = np.concatenate(stores), np.concatenate(offers)
+    first = np.cumsum(carried) - carried
+    store_ids, all_stores = np.unique(np.concatenate(stores), return_inverse=True)
+    all_offers = np.concatenate(offers)
     for start in range(0, len(ours), block):
         rows = slice(start, start + block)
         total = left.lengths[rows, None] + right.lengths[None, :]
         shared = np.zeros(total.shape, dtype=left_counts.dtype)
         for char in range(size):
             shared += np.minimum(left_counts[rows, char, None], right_counts[None, :, char])
-        a, b = np.nonzero(2.0 * shared >= threshold * total - 1e-9)
-        if not len(a):
+        bound = 2.0 * shared / total
+        a, b = np.nonzero(bound >= threshold)
+        order = np.argsort(-bound[a, b], kind="stable")
+        a, b = a[order], b[order]
+        reached = np.zeros((len(total), len(store_ids)))
+        won, step = [], 16 * block
+        while len(a):
+            part_a, part_b = a[:step], b[:step]
+            score = 2.0 * common_subsequence(masks, right, part_a + start, part_b) / total[part_a, part_b]
+            good = score >= threshold
+            part_a, part_b, score = part_a[good], part_b[good], score[good]
+            times = carried[part_b]
+            index = np.repeat(first[part_b] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+            part_a, score = np.repeat(part_a, times), np.repeat(score, times)
+            store, offer = all_stores[index], all_offers[index]
+            np.maximum.at(reached, (part_a, store), score)
+            won.append((part_a, store, score, offer))
+            a, b = a[step:], b[step:]
+            open_ = bound[a, b] >= reached.min(axis=1)[a]
+            a, b, step = a[open_], b[open_], step * 2
+        if not won:
             continue
-        score = 2.0 * common_subsequence(masks, right, a + start, b) / total[a, b]
-        good = score >= threshold
-        a, b, score = a[good] + start, b[good], score[good]
-        times = carried[b]
-        index = np.repeat(first[b] - np.concatenate([[0], np.cumsum(times)[:-1]]) if len(b) else first[:0],
-                          times) + np.arange(times.sum())
-        a, score = np.repeat(a, times), np.repeat(score, times)
-        store, offer = all_stores[index], all_offers[index]
+        a, store, score, offer = (np.concatenate(x) for x in zip(*won))
         order = np.lexsort((offer, -score, store, a))
         a, store, score, offer = a[order], store[order], score[order], offer[order]
         lead = np.ones(len(a), dtype=bool)
         lead[1:] = (a[1:] != a[:-1]) | (store[1:] != store[:-1])
-        yield a[lead], store[lead], score[lead], offer[lead]
+        yield a[lead] + start, store_ids[store[lead]], score[lead], offer[lead]

@@ -145,7 +145,11 @@ def offers_by_text(texts: DataFrame, offers: DataFrame, threshold: float = S.MIN
     """
     ensure_checkpoint_dir(texts.sparkSession)
     theirs = offers.withColumn("text", F.nullif(comparison_text(F.col("vendor"), F.col("title")), F.lit("")))
-    firsts = theirs.filter("text IS NOT NULL").groupBy("text", "comp_ord").agg(F.min("offer_ord").alias("offer_ord"))
+    detail = F.struct("offer_ord", "domain", "name", "title", "price_eur")
+    firsts = (
+        theirs.filter("text IS NOT NULL").groupBy("text", "comp_ord").agg(F.min(detail).alias("first"))
+        .select("text", "comp_ord", "first.*").checkpoint()
+    )
     carried = firsts.groupBy("text").agg(F.collect_list(F.struct("comp_ord", "offer_ord")).alias("x")).select(
         "text", F.col("x.comp_ord").alias("stores"), F.col("x.offer_ord").alias("offers")
     ).checkpoint()
@@ -154,7 +158,7 @@ def offers_by_text(texts: DataFrame, offers: DataFrame, threshold: float = S.MIN
     best = best_by_text(ours, carried, threshold).select("text", "score", offer_key).checkpoint()
 
     confidence = F.floor(F.col("score") * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0)
-    details = offers.select(offer_key, "comp_ord", "domain", "name", "title", "price_eur")
+    details = firsts.select(offer_key, "comp_ord", "domain", "name", "title", "price_eur")
     return (
         join_lookup(best, details, "offer_key", F.col("text"), "inner")
         .groupBy("text").agg(F.sort_array(F.collect_list(_match(confidence))).alias("by_text"))

@@ -3,11 +3,12 @@
 import math
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tarifold.functions.similarity import pair_scores
+from tarifold.functions.similarity import best_in_tile, pair_scores
 from tarifold.operators import fx, match, pricing
 from tarifold.plans.skew import drop_matching, heavy_keys, join_lookup
 
@@ -35,6 +36,28 @@ def test_kernel():
     assert got == pytest.approx(want)
 
 
+def test_tile_against_model():
+    rng = random.Random(4)
+    for low, high in ((1, 12), (60, 70), (240, 300)):
+        base = "".join(rng.choice("abcd") for _ in range(high))
+        text = lambda: "".join(ch for ch in base if rng.random() < 0.95)[: rng.randrange(low, high)]  # noqa: E731, B023
+        ours = list({text() for _ in range(25)} - {""})
+        theirs = list({text() for _ in range(25)} - {""})
+        stores = [np.array(sorted(rng.sample(range(5), rng.randrange(1, 4)))) for _ in theirs]
+        offers = [np.array([rng.randrange(1000) for _ in s]) for s in stores]
+        got = {}
+        for a, store, points, offer in best_in_tile(ours, theirs, stores, offers, 0.75, block=4):
+            got.update({(ours[i], s): (p, o) for i, s, p, o in zip(a, store, points, offer)})
+        want = {}
+        for x in ours:
+            for y, ss, oo in zip(theirs, stores, offers):
+                points = 2 * lcs(x, y) / (len(x) + len(y))
+                for s, o in zip(ss, oo):
+                    if points >= 0.75 and (points, -o) > want.get((x, s), (0, 0)):
+                        want[x, s] = (points, -o)
+        assert got == {k: (p, -o) for k, (p, o) in want.items()}
+
+
 def offers_frame(spark, rows):
     return spark.createDataFrame(
         rows, "domain string, comp_ord int, offer_ord long, name string, currency string, sku string, title string, "
