@@ -27,11 +27,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(33))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    if n:
+    """1, base, base**2, ...; those of usual chunks are kept."""
+    kept = _POWERS.get(int(base))
+    if kept is None or len(kept) < n:
+        out = np.full(max(n, CHUNK + CHUNK // 8), base, dtype=np.uint64)
         out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+        kept = np.cumprod(out, dtype=np.uint64)
+        if len(kept) <= 2 * CHUNK:
+            _POWERS[int(base)] = kept
+    return kept[:n]
 
 
 def chunks(texts: list[bytes], limit: int = CHUNK):

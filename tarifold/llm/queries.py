@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, line_dedup, mixing, ngram_join, sharding, toxicity
+from . import chat, decontaminate, line_dedup, mixing, nearest, ngram_join, sharding, suffix_dedup, toxicity
 from .common import table
 
 SHARDS = 24
@@ -32,6 +32,11 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"), seed=SEED)
 
 
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return nearest.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def crc_share(n: int):
     """crc32 of the id as text, modulo ``n``."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
@@ -48,6 +53,11 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -65,7 +75,7 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("answers").cast("long").alias("loss_chars"), F.sha2("answers", 256).alias("loss_sha256"), "formatted_chars")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op4_sharding, op5_mixing, op7_toxicity, op8_decontamination, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op4_sharding, op5_mixing, op6_nearest_neighbours, op7_toxicity, op8_decontamination, op9_suffix_dedup, op10_chat_formatting)}
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
