@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, line_dedup, mixing, nearest, ngram_join, sharding, suffix_dedup, toxicity
+from . import chat, decontaminate, line_dedup, lm_scoring, mixing, nearest, ngram_join, sharding, suffix_dedup, toxicity
 from .common import table
 
 SHARDS = 24
@@ -22,6 +22,12 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lm_scoring.score_texts(docs, crc_share(10) != 0).select(
+        F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return sharding.shard_by_bytes(docs, SHARDS).select(
@@ -75,7 +81,7 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("answers").cast("long").alias("loss_chars"), F.sha2("answers", 256).alias("loss_sha256"), "formatted_chars")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op4_sharding, op5_mixing, op6_nearest_neighbours, op7_toxicity, op8_decontamination, op9_suffix_dedup, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op3_lm_scoring, op4_sharding, op5_mixing, op6_nearest_neighbours, op7_toxicity, op8_decontamination, op9_suffix_dedup, op10_chat_formatting)}
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
