@@ -112,7 +112,7 @@ def _runs(bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _collect(n: int, hot: np.ndarray):
-    """Per block: (bucket, block, words, their training counts) and (bucket, block, pairs, theirs)."""
+    """Per block: (bucket, block, words, their training counts), and by context its (words, theirs)."""
 
     def block_rows(block: int, texts: list[bytes], train: np.ndarray) -> pd.DataFrame:
         t = Tokens(texts)
@@ -125,12 +125,15 @@ def _collect(n: int, hot: np.ndarray):
         order, ends = _runs(word_bucket, n)
         for b in np.flatnonzero(np.diff(ends)):
             at = order[ends[b]:ends[b + 1]]
-            rows.append((int(b), block, True, t.words[at].tobytes(), b"", word_count[at].tobytes()))
+            rows.append((int(b), block, True, t.words[at].tobytes(), b"", b"", word_count[at].tobytes()))
         order, ends = _runs(pair_bucket, n)
         for b in np.flatnonzero(np.diff(ends)):
             at = order[ends[b]:ends[b + 1]]  # sorted by context, then word
-            rows.append((int(b), block, False, _five(low[t.left[at]]), _five(low[t.right[at]]), pair_count[at].tobytes()))
-        return pd.DataFrame(rows, columns=["bucket", "block", "of_words", "keys", "others", "counts"])
+            left = t.left[at]
+            own = np.flatnonzero(np.diff(left, prepend=-1))
+            runs = np.diff(np.append(own, len(at))).astype(np.uint32)
+            rows.append((int(b), block, False, _five(low[left[own]]), runs.tobytes(), _five(low[t.right[at]]), pair_count[at].tobytes()))
+        return pd.DataFrame(rows, columns=["bucket", "block", "of_words", "keys", "runs", "others", "counts"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -158,7 +161,8 @@ def _seat_pairs(n: int, seed: int, hot: np.ndarray):
         bucket = int(frame["bucket"].iloc[0])
         frame = frame.sort_values("block")
         sizes = frame["counts"].str.len().to_numpy() // 4
-        left, right = _from_five(b"".join(frame["keys"])), _from_five(b"".join(frame["others"]))
+        left = np.repeat(_from_five(b"".join(frame["keys"])), np.frombuffer(b"".join(frame["runs"]), np.uint32))
+        right = _from_five(b"".join(frame["others"]))
         count = np.frombuffer(b"".join(frame["counts"]), np.uint32).astype(np.int64)
         contexts, u = np.unique(left, return_inverse=True)
         dishes, w = np.unique(right, return_inverse=True)
@@ -328,7 +332,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     hot = _common_words([r["t"] for r in some.select("t").collect()])
 
     sent = stored(rows.select("uid", "block", "train", "text").mapInPandas(
-        _collect(n, hot), "bucket int, block long, of_words boolean, keys binary, others binary, counts binary"), "lm-counts")
+        _collect(n, hot), "bucket int, block long, of_words boolean, keys binary, runs binary, others binary, counts binary"), "lm-counts")
     seated = stored(sent.where("not of_words").groupBy("bucket").applyInPandas(
         _seat_pairs(n, seed, hot), "bucket int, block long, kind string, first binary, second binary"), "lm-pairs")
     answers = stored(sent.where("of_words").groupBy("bucket").cogroup(seated.where("kind <> 'pairs'").groupBy("bucket")).applyInPandas(
