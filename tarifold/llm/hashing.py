@@ -15,7 +15,7 @@ BASE = U(0x9E3779B97F4A7C15)
 BASE_INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 2**64))
 FACTORS = _RANDOM.integers(1, 2**63, 64, dtype=np.uint64) * U(2) + U(1)
 #: Texts are hashed in pieces of about this many bytes, which bounds the arrays.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
