@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,10 +37,16 @@ def key128(*columns: Column) -> list[Column]:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared checkpoint folder and read it back: a lost executor costs nothing."""
+    """Write a table to the shared checkpoint folder and read it back: a lost executor costs nothing.
+
+    The shuffle files behind it are of no use any more, but executors keep them until the driver
+    happens to collect its garbage. It is asked to, or a chain of such tables piles up on their disks.
+    """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
