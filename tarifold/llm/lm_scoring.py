@@ -63,6 +63,9 @@ def discount_of(counts: np.ndarray) -> float:
     return float(np.clip(once / (once + 2 * twice), 0.1, 0.95)) if once else 0.5
 
 
+COUNT_COLUMNS = ["bucket", "block", "keys", "runs", "others", "counts"]
+
+
 class Tokens:
     """The words of a block of texts, its distinct words and its distinct pairs (context, word)."""
 
@@ -111,8 +114,8 @@ def _runs(bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bucket[order], np.arange(n + 1))
 
 
-def _collect(n: int, hot: np.ndarray):
-    """Per block: (bucket, block, words, their training counts), and by context its (words, theirs)."""
+def _collect(n: int, hot: np.ndarray, of_words: bool):
+    """Per block and bucket: words and their training counts, or contexts and their words and counts."""
 
     def block_rows(block: int, texts: list[bytes], train: np.ndarray) -> pd.DataFrame:
         t = Tokens(texts)
@@ -122,18 +125,20 @@ def _collect(n: int, hot: np.ndarray):
         word_bucket, pair_bucket = t.buckets(n, hot)
         low = t.words & LOW40
         rows = []
-        order, ends = _runs(word_bucket, n)
-        for b in np.flatnonzero(np.diff(ends)):
-            at = order[ends[b]:ends[b + 1]]
-            rows.append((int(b), block, True, t.words[at].tobytes(), b"", b"", word_count[at].tobytes()))
+        if of_words:
+            order, ends = _runs(word_bucket, n)
+            for b in np.flatnonzero(np.diff(ends)):
+                at = order[ends[b]:ends[b + 1]]
+                rows.append((int(b), block, t.words[at].tobytes(), b"", b"", word_count[at].tobytes()))
+            return pd.DataFrame(rows, columns=COUNT_COLUMNS)
         order, ends = _runs(pair_bucket, n)
         for b in np.flatnonzero(np.diff(ends)):
             at = order[ends[b]:ends[b + 1]]  # sorted by context, then word
             left = t.left[at]
             own = np.flatnonzero(np.diff(left, prepend=-1))
             runs = np.diff(np.append(own, len(at))).astype(np.uint32)
-            rows.append((int(b), block, False, _five(low[left[own]]), runs.tobytes(), _five(low[t.right[at]]), pair_count[at].tobytes()))
-        return pd.DataFrame(rows, columns=["bucket", "block", "of_words", "keys", "runs", "others", "counts"])
+            rows.append((int(b), block, _five(low[left[own]]), runs.tobytes(), _five(low[t.right[at]]), pair_count[at].tobytes()))
+        return pd.DataFrame(rows, columns=COUNT_COLUMNS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -318,7 +323,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
 
     NULL texts are empty: one token, the end. Rows with equal ids are texts like others. No training rows: nothing is known, and
     all scores are those of the uniform base. Empty table: empty result. Each text has the same score wherever it
-    stands. ``docs`` is read three times and should be a stored table, whose rows keep their order.
+    stands. ``docs`` is read several times and should be a stored table, whose rows keep their order.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(
@@ -331,11 +336,13 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     some = docs.select(F.col(text_col).alias("t")).where(F.char_length("t") <= HOT_CHARS).withColumn("h", F.xxhash64("t")).orderBy("h").limit(HOT_SAMPLE)
     hot = _common_words([r["t"] for r in some.select("t").collect()])
 
-    sent = stored(rows.select("uid", "block", "train", "text").mapInPandas(
-        _collect(n, hot), "bucket int, block long, of_words boolean, keys binary, runs binary, others binary, counts binary"), "lm-counts")
-    seated = stored(sent.where("not of_words").groupBy("bucket").applyInPandas(
+    def counts(of_words: bool) -> DataFrame:
+        return rows.select("uid", "block", "train", "text").mapInPandas(
+            _collect(n, hot, of_words), "bucket int, block long, keys binary, runs binary, others binary, counts binary").groupBy("bucket")
+
+    seated = stored(counts(False).applyInPandas(
         _seat_pairs(n, seed, hot), "bucket int, block long, kind string, first binary, second binary"), "lm-pairs")
-    answers = stored(sent.where("of_words").groupBy("bucket").cogroup(seated.where("kind <> 'pairs'").groupBy("bucket")).applyInPandas(
+    answers = stored(counts(True).cogroup(seated.where("kind <> 'pairs'").groupBy("bucket")).applyInPandas(
         _seat_words(seed), "bucket int, block long, kind string, first binary, second binary, n long, v long, customers double, back_off double"), "lm-words")
     sums = answers.where("kind = 'sums'").agg(*[F.sum(c).alias(c) for c in ("n", "v", "customers", "back_off")]).first().asDict()
     columns = ["bucket", "block", "kind", "first", "second"]
