@@ -36,18 +36,24 @@ def key128(*columns: Column) -> list[Column]:
     return [F.xxhash64(*columns), F.xxhash64(F.lit(7), *columns)]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a table to the shared checkpoint folder and read it back: a lost executor costs nothing.
 
     The shuffle files behind it are of no use any more, but executors keep them until the driver
     happens to collect its garbage. It is asked to, or a chain of such tables piles up on their disks.
+    With ``by`` the table is bucketed by that column, and joins on it don't move its rows again.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if by is None:
+        df.write.parquet(path)
+    else:
+        view = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.bucketBy(parts, by).sortBy(by).option("path", path).format("parquet").saveAsTable(view)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path) if by is None else spark.table(view)
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -18,7 +18,9 @@ from .hashing import FACTORS, U, chunks, mix, shingle_sets
 #: Groups of at most this many members are held together as one row; larger ones are split up.
 LIGHT = 32
 #: Members of a larger group that are compared with all its others in one round.
-LEADERS = 8
+LEADERS = 32
+#: Comparisons with one leader that one task is given.
+PER_LEADER = 256
 #: Independent partitions of the universe that a set goes through until its segments suffice.
 FAMILIES = 4
 #: Entries (hash and row number) of one bucket, as the buckets' number is chosen from the input's size.
@@ -304,16 +306,27 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     wanted = reps.where("uid = rep").join(wanted, "rep").select("rep", "id", "mark", "n")
     texts = rows.join(wanted.withColumnRenamed("id", "own").withColumnRenamed("mark", "own_mark"),
                       rows["id"].eqNullSafe(F.col("own")) & (rows["mark"] == F.col("own_mark")) & (rows["uid"] == F.col("rep")))
-    texts = stored(texts.select("rep", "n", "text"), "join-texts")
+    texts = stored(texts.select("rep", "n", "text"), "join-texts", by="rep")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """(a, b) of the pairs that link."""
-        left = texts.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("text").alias("ta"))
-        right = texts.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("text").alias("tb"))
-        sized = pairs.join(left.select("a", "na"), "a").join(right.select("b", "nb"), "b")
-        sized = sized.where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)).select("a", "b")
-        both = sized.join(right.select("b", "tb"), "b").join(left.select("a", "ta"), "a")
-        return both.select("a", "b", "ta", "tb").mapInPandas(_verify(percent), "a long, b long")
+        """(a, b) of the pairs that link. Of a pair, the one that is in more pairs sends its text once per ``PER_LEADER`` of them."""
+        left = texts.select(F.col("rep").alias("a"), F.col("n").alias("na"))
+        right = texts.select(F.col("rep").alias("b"), F.col("n").alias("nb"))
+        sized = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
+        sized = stored(sized, "join-sized")
+        often = sized.select(F.explode(F.array("a", "b")).alias("x")).groupBy("x").agg(F.count("*").alias("times"))
+        turned = sized.join(often.select(F.col("x").alias("a"), F.col("times").alias("ta")), "a").join(
+            often.select(F.col("x").alias("b"), F.col("times").alias("tb")), "b")
+        swap = F.col("tb") > F.col("ta")
+        turned = stored(turned.select(
+            F.when(swap, F.col("b")).otherwise(F.col("a")).alias("leader"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("rep"),
+            F.ceil(F.greatest("ta", "tb") / PER_LEADER).cast("int").alias("parts"),
+        ).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")), "join-turned")
+        leaders = turned.select(F.col("leader").alias("rep"), "parts").distinct().join(texts.select("rep", "text"), "rep")
+        leaders = leaders.select(F.col("rep").alias("leader"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("text").alias("ta"))
+        others = turned.join(texts.select("rep", F.col("text").alias("tb")), "rep")
+        both = others.join(leaders, ["leader", "part"])
+        return both.select(F.col("leader").alias("a"), F.col("rep").alias("b"), "ta", "tb").mapInPandas(_verify(percent), "a long, b long")
 
     roots = members.select(F.col("rep").alias("node")).distinct().withColumn("root", F.col("node"))
     leader = members.groupBy("gid").agg(F.min("rep").alias("leader"))
@@ -344,7 +357,9 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
         tested = tested.unionByName(pairs)
         # light groups are settled by this; leaders have then met all others of their group
         spent = leaders.select("gid", F.col("a").alias("rep"))
-        members = stored(open_.where("not light").select("gid", "rep", "light").join(spent, ["gid", "rep"], "left_anti"), "join-members")
+        rest = open_.where("not light").join(spent, ["gid", "rep"], "left_anti")
+        divided = rest.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("gid")
+        members = stored(rest.join(divided, "gid").select("gid", "rep", "light"), "join-members")
         if pairs.isEmpty() and members.isEmpty():
             break
 
