@@ -15,7 +15,7 @@ from .hashing import FACTORS, U, chunks, mix, word_hashes
 #: The end of a text, as a word; it also stands before the first word.
 END = U(0x5EED0FE2D0F7E875)
 LOW40 = U((1 << 40) - 1)
-BLOCK_BITS = 10
+BLOCK_BITS = 11
 BUCKET_TEXT_BYTES = 8 << 20
 #: Dishes of up to this many customers are re-seated at once from the exact conditional; larger ones in batches.
 EXACT = 64
@@ -210,7 +210,7 @@ def _seat_pairs(n: int, seed: int, hot: np.ndarray):
     return run
 
 
-def _seat_words(seed: int):
+def _seat_words(seed: int, hot_words: np.ndarray):
     """The parent restaurant's dishes of one bucket: counts, tables and back-off of its words, back to the blocks."""
 
     def run(key: tuple, asked: pd.DataFrame, tables: pd.DataFrame) -> pd.DataFrame:
@@ -247,10 +247,13 @@ def _seat_words(seed: int):
                 mean += t / SAMPLES
         worth = (whole - d * mean).astype(np.float32)
         ends = np.concatenate([[0], np.cumsum(sizes)])
+        width = np.uint32 if not len(c) or c.max() < 1 << 32 else np.int64
         rows = []
         for i, block in enumerate(asked["block"]):
             at = back[ends[i]:ends[i + 1]]
-            rows.append((bucket, int(block), "words", c[at].tobytes(), np.concatenate([worth[at], hot[at].astype(np.float32)]).tobytes(), 0, 0, 0.0, 0.0))
+            common = np.isin(low[at], hot_words)  # the back-off of other contexts comes with their pairs
+            values = np.concatenate([worth[at], hot[at][common].astype(np.float32)])
+            rows.append((bucket, int(block), "words", c[at].astype(width).tobytes(), values.tobytes(), 0, 0, 0.0, 0.0))
         rows.append((bucket, -1, "sums", b"", b"", int(c.sum()), known, float(whole.sum()), float((d * mean).sum())))
         return pd.DataFrame(rows, columns=["bucket", "block", "kind", "first", "second", "n", "v", "customers", "back_off"])
 
@@ -275,8 +278,8 @@ def _score(n: int, hot: np.ndarray, sums: dict):
             if kind == "words":
                 at = word_order[word_ends[b]:word_ends[b + 1]]
                 both = np.frombuffer(second, np.float32)
-                count[at], worth[at] = np.frombuffer(first, np.int64), both[:len(at)]
-                back_off[at[is_hot[at]]] = both[len(at):][is_hot[at]]
+                count[at] = np.frombuffer(first, np.uint32 if len(first) == 4 * len(at) else np.int64)
+                worth[at], back_off[at[is_hot[at]]] = both[:len(at)], both[len(at):]
             else:
                 at = pair_order[pair_ends[b]:pair_ends[b + 1]]
                 pair_worth[at] = np.frombuffer(first, np.float32)
@@ -330,11 +333,12 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
         F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"),
         F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"),
     ).withColumn("block", F.shiftright("uid", BLOCK_BITS))
-    volume = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    volume, n_rows = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)), F.count("*")).first()
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(2 * parts, -(-volume // BUCKET_TEXT_BYTES))
-    some = docs.select(F.col(text_col).alias("t")).where(F.char_length("t") <= HOT_CHARS).withColumn("h", F.xxhash64("t")).orderBy("h").limit(HOT_SAMPLE)
-    hot = _common_words([r["t"] for r in some.select("t").collect()])
+    some = docs.select(F.col(text_col).alias("t")).where(F.char_length("t") <= HOT_CHARS)
+    some = some.where(F.pmod(F.xxhash64("t"), F.lit(-(-n_rows // HOT_SAMPLE) or 1)) == 0).limit(HOT_SAMPLE)
+    hot = _common_words([r["t"] for r in some.collect()])
 
     def counts(of_words: bool) -> DataFrame:
         return rows.select("uid", "block", "train", "text").mapInPandas(
@@ -343,7 +347,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     seated = stored(counts(False).applyInPandas(
         _seat_pairs(n, seed, hot), "bucket int, block long, kind string, first binary, second binary"), "lm-pairs")
     answers = stored(counts(True).cogroup(seated.where("kind <> 'pairs'").groupBy("bucket")).applyInPandas(
-        _seat_words(seed), "bucket int, block long, kind string, first binary, second binary, n long, v long, customers double, back_off double"), "lm-words")
+        _seat_words(seed, hot), "bucket int, block long, kind string, first binary, second binary, n long, v long, customers double, back_off double"), "lm-words")
     sums = answers.where("kind = 'sums'").agg(*[F.sum(c).alias(c) for c in ("n", "v", "customers", "back_off")]).first().asDict()
     columns = ["bucket", "block", "kind", "first", "second"]
     back = answers.where("kind = 'words'").select(*columns).unionByName(seated.where("kind = 'pairs'").select(*columns))
