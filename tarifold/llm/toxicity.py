@@ -149,7 +149,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = 3000, sa
     rows = []
     for y in (0, 1):
         some = joined.where((F.col("y") == y) & (F.char_length("text") <= sample_chars)).withColumn("h", F.xxhash64(F.lit(5), "id"))
-        rows += some.select("h", "id", "y", "text").orderBy("h", "id", "text").limit(sample_docs).collect()
+        # the hash up to which there are enough, first, so that no more texts than those are sent
+        last = some.select("h").orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
+        rows += some.where(F.col("h") <= F.lit(last)).select("h", "id", "y", "text").limit(sample_docs).collect() if last is not None else []
+    rows.sort(key=lambda r: (r["h"], r["y"], r["text"]))
     return train([r["text"] for r in rows], [r["y"] for r in rows], shares.get(1, 0) / max(total, 1)) if rows else None
 
 
