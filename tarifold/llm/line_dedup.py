@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, free_name, key128, lower_ascii
+from .common import BLANKS, free_name, key128, lower_ascii, stored
 
 LAST_ID = 2**63 - 1
 
@@ -32,13 +32,15 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, min_docs: int = 2,
         F.col(own).alias("doc"), F.col(mark).alias("mark"), F.posexplode(lines).alias("pos", "line"),
     ).withColumn("line", lower_ascii(F.btrim("line", F.lit(BLANKS)))).where(F.char_length("line") >= min_chars)
     first, second = key128(F.col("line"))
-    exploded = exploded.select("doc", "mark", "pos", first.alias("h1"), second.alias("h2"))
+    # Written once: it is counted and joined, and the join's two sides then come from exchanges that can be split at a hot line.
+    exploded = stored(exploded.select("doc", "mark", "pos", first.alias("h1"), second.alias("h2")), "lines")
     if min_docs == 2:  # two documents hold it when the smallest and the largest differ
         shared = exploded.groupBy("h1", "h2").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last"))
         shared = shared.where("keeper < last").drop("last")
     else:
         shared = exploded.select("h1", "h2", "doc").distinct().groupBy("h1", "h2")
         shared = shared.agg(F.min("doc").alias("keeper"), F.count("*").alias("n")).where(F.col("n") >= min_docs).drop("n")
+    shared = stored(shared, "shared-lines")
     dropped = exploded.join(shared, ["h1", "h2"]).where("doc > keeper")
     dropped = dropped.groupBy("doc", "mark").agg(F.collect_set("pos").alias("gone"))
     # The kept numbers are a set difference of integers, which is hashed, so very long texts stay linear.
