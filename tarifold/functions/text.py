@@ -132,7 +132,9 @@ def node_text(c: Column) -> Column:
 def node_text_spaced(c: Column) -> Column:
     """Like :func:`node_text`, with one space between text nodes."""
     no_comments = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
-    return strip(unescape(F.regexp_replace(no_comments, r"(?U)(?:\s*<[^>]+>\s*)+", " ")))
+    # tags become one character first: a repeated group would use up the matcher's stack on long runs
+    marked = F.regexp_replace(no_comments, r"<[^>]+>", "\ue000")
+    return strip(unescape(F.regexp_replace(marked, "(?U)\\s*\ue000[\\s\ue000]*", " ")))
 
 
 def replace_all(c: Column, rules, flags="(?iUd)", case_sensitive=frozenset()) -> Column:

@@ -26,7 +26,11 @@ def clean_description(c: Column, source_keyword: str = S.Store.source_keyword,
     for kind in [source_keyword, *kinds]:
         cleaned = F.regexp_replace(cleaned, f"(?iUd)(?<![^<.!?])[^<.!?]*(?:{kind})[^<.!?]*[.!?]?", "")
     cleaned = F.regexp_replace(cleaned, r"[ \t]{2,}", " ")
-    cleaned = F.regexp_replace(cleaned, r"(?iU)(?:<br\s*/?>|\n){3,}", "<br>")
+    # An unbounded repeat of this group would use up the matcher's stack. Runs are shortened from 64
+    # to 3 breaks at a time; seven times is enough for the longest string there can be.
+    for _ in range(7):
+        cleaned = F.regexp_replace(cleaned, r"(?iU)(?:<br\s*/?>|\n){64}", "\n\n\n")
+    cleaned = F.regexp_replace(cleaned, r"(?iU)(?:<br\s*/?>|\n){3,256}", "<br>")
     return F.when(c == "", c).otherwise(strip(cleaned))
 
 

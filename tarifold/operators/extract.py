@@ -128,7 +128,7 @@ def gallery_images(html: Column) -> Column:
     scripts = F.filter(
         M.scripts_of_type(html, "text/x-magento-init"), lambda s: F.try_parse_json(s).isNotNull()
     )
-    pair = F.lit(r'"(full|img|src|url)"\s*:\s*"((?:[^"\\]|\\.)*)"')
+    pair = F.lit(r'(?s)"(full|img|src|url)"\s*:\s*"(.*?(?<!\\)(?:\\\\)*)"')
     raw = F.flatten(F.transform(scripts, lambda s: F.regexp_extract_all(s, pair, F.lit(2))))
     decoded = F.transform(
         raw, lambda v: F.from_json(F.concat(F.lit('["'), v, F.lit('"]')), TEXTS)[0]

@@ -5,6 +5,8 @@ Three layers: a captioned compatibility table, an attribute table, the title.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,7 +84,7 @@ def title_year(title: Column) -> Column:
 
 def title_make(title: Column, makes=D.MAKES) -> Column:
     """First make of the list, in list order, that stands in the title as a word."""
-    hits = [F.when(search_any(title, rf"\b{m}\b"), F.lit(m)) for m in makes]
+    hits = [F.when(search_any(title, rf"\b{re.escape(m)}\b"), F.lit(m)) for m in makes]
     return F.coalesce(*hits, F.lit(""))
 
 

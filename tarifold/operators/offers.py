@@ -33,10 +33,12 @@ def competitor_defaults(config: DataFrame) -> DataFrame:
 
 def usable_pages(payloads: DataFrame, items: Column, blocked=S.BLOCK_STATUSES) -> DataFrame:
     """Pages that count: none of a store that blocked any page; of the others, those before
-    the first page without items. One small row per store decides."""
+    the first page without items. A page that failed otherwise has no items; one without a
+    status was read. One small row per store decides."""
+    status = F.coalesce(F.col("status"), F.lit(200))
+    empty = (F.coalesce(items, F.lit(0)) == 0) | (status != 200)
     verdict = payloads.groupBy("domain").agg(
-        F.max(F.col("status").isin(*blocked)).alias("_blocked"),
-        F.min(F.when(F.coalesce(items, F.lit(0)) == 0, F.col("page_no"))).alias("_end"),
+        F.max(status.isin(*blocked)).alias("_blocked"), F.min(F.when(empty, F.col("page_no"))).alias("_end"),
     )
     joined = join_small(payloads, verdict, "domain", F.col("page_no"), "inner")
     ends = F.col("_end").isNull() | (F.col("page_no") < F.col("_end"))

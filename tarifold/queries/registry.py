@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 import uuid
 from collections.abc import Callable
@@ -15,7 +14,6 @@ TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
-SPREAD_FROM, SPREAD_UP_TO = 16 << 10, 64 << 20
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -28,12 +26,7 @@ class Tables:
 
     def __call__(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
-        table = self.spark.read.parquet(path)
-        # One small file on the local disk is one task, however many cores there are. Tables
-        # on shared storage come in as many splits as they have and are left alone.
-        if os.path.isfile(path) and SPREAD_FROM < os.path.getsize(path) < SPREAD_UP_TO:
-            return table.repartition(self.spark.sparkContext.defaultParallelism)
-        return table
+        return self.spark.read.parquet(path)
 
     def sql(self, text: str) -> DataFrame:
         for name in TABLES:
