@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, stored
@@ -157,6 +157,37 @@ def entries(sets: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray,
     return np.concatenate(sigs), np.concatenate(owners), spare, weight
 
 
+def sketches(sets: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Per set the parities of how many elements fall to each of 4 n (up to a power of two) places, as 64-bit words.
+
+    Two sets differ in at least as many elements as their sketches (of one length) differ in bits. A longer
+    sketch is folded to half its length by xor of its halves.
+    """
+    n = np.diff(at)
+    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
+    begins = np.concatenate([[0], np.cumsum(bits // 64)])
+    owner = np.repeat(np.arange(len(n)), n)
+    place = (mix(sets + FACTORS[44]) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    words = np.zeros(int(begins[-1]), dtype=np.uint64)
+    np.bitwise_xor.at(words, begins[owner] + (place >> 6), U(1) << (place & 63).astype(np.uint64))
+    return np.split(words.astype(np.int64), begins[1:-1])
+
+
+def may_link(percent: int, na: Column, nb: Column, sa: Column, sb: Column) -> Column:
+    """False only for pairs whose sizes or sketches show a similarity below ``percent``."""
+    k = F.least(F.size(sa), F.size(sb))
+
+    def fold(s: Column) -> Column:
+        halves = F.zip_with(F.slice(s, F.lit(1), k), F.slice(s, k + 1, k), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(s) > k, halves).otherwise(s)
+
+    apart = F.aggregate(F.zip_with(fold(sa), fold(sb), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    near = apart * (100 + percent) <= (na + nb) * (100 - percent)
+    # sketches further apart than one fold only occur below 50 percent and are let through
+    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (
+        near | (F.greatest(F.size(sa), F.size(sb)) > 2 * k))
+
+
 def _sizes(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -173,6 +204,7 @@ def _sizes(percent: int):
                 yield pd.DataFrame({
                     "uid": batch["uid"].to_numpy()[rows], "id": batch["id"][rows], "mark": batch["mark"].to_numpy()[rows],
                     "n": n, "spare": spare, "weight": weight, "h1": key[0].astype(np.int64), "h2": key[1].astype(np.int64),
+                    "sketch": sketches(sets, at),
                 })
 
     return run
@@ -264,7 +296,8 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     Links: copies of a set are one class first. Candidates are then compared in rounds: each class with the smallest leader of
     its groups, then what is still apart within a group: all of a light group, and a
     few leaders at a time of a heavy one. Pairs that are already connected are never compared, so a
-    group of thousands of near copies costs about one comparison for each. Each comparison is exact, of whole sets
+    group of thousands of near copies costs about one comparison for each. Sizes and parity sketches, whose distance is a lower
+    bound of the sets' difference, rule out most unlike pairs first. Each comparison left is exact, of whole sets
     (hashed to 48 bits per shingle).
 
     A text that is NULL, empty or blank has the empty set and links with nothing: its component is
@@ -279,7 +312,8 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     )
     kind = docs.schema[id_col].dataType.simpleString()
     sizes = stored(rows.mapInPandas(
-        _sizes(percent), f"uid long, id {kind}, mark long, n long, spare long, weight long, h1 long, h2 long"), "join-sizes")
+        _sizes(percent), f"uid long, id {kind}, mark long, n long, spare long, weight long, h1 long, h2 long, sketch array<long>"),
+        "join-sizes")
     full = sizes.where("n > 0")
     classes = full.groupBy("h1", "h2").agg(F.min("uid").alias("rep"))
     reps = stored(full.join(classes, ["h1", "h2"]).select("uid", "rep", "id", "mark", "n", "spare", "weight"), "join-classes")
@@ -306,13 +340,14 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     wanted = reps.where("uid = rep").join(wanted, "rep").select("rep", "id", "mark", "n")
     texts = rows.join(wanted.withColumnRenamed("id", "own").withColumnRenamed("mark", "own_mark"),
                       rows["id"].eqNullSafe(F.col("own")) & (rows["mark"] == F.col("own_mark")) & (rows["uid"] == F.col("rep")))
-    texts = stored(texts.select("rep", "n", "text"), "join-texts", by="rep")
+    texts = stored(texts.select("rep", "text"), "join-texts", by="rep")
+    outlines = stored(sizes.join(wanted.select("rep"), sizes["uid"] == F.col("rep")).select("rep", "n", "sketch"), "join-outlines")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """(a, b) of the pairs that link. Of a pair, the one that is in more pairs sends its text once per ``PER_LEADER`` of them."""
-        left = texts.select(F.col("rep").alias("a"), F.col("n").alias("na"))
-        right = texts.select(F.col("rep").alias("b"), F.col("n").alias("nb"))
-        sized = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
+        left = outlines.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+        right = outlines.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+        sized = pairs.join(left, "a").join(right, "b").where(may_link(percent, *map(F.col, ("na", "nb", "sa", "sb")))).select("a", "b")
         sized = stored(sized, "join-sized")
         often = sized.select(F.explode(F.array("a", "b")).alias("x")).groupBy("x").agg(F.count("*").alias("times"))
         turned = sized.join(often.select(F.col("x").alias("a"), F.col("times").alias("ta")), "a").join(
