@@ -308,7 +308,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     spark = docs.sparkSession
     rows = docs.select(
         F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark"), F.col(text_col).alias("text"),
+        F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("mark"), F.col(text_col).alias("text"),
     )
     kind = docs.schema[id_col].dataType.simpleString()
     sizes = stored(rows.mapInPandas(
@@ -337,18 +337,21 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     members = stored(members.join(lonely, "gid"), "join-members")
 
     wanted = members.select("rep").distinct()
-    wanted = reps.where("uid = rep").join(wanted, "rep").select("rep", "id", "mark", "n")
-    texts = rows.join(wanted.withColumnRenamed("id", "own").withColumnRenamed("mark", "own_mark"),
-                      rows["id"].eqNullSafe(F.col("own")) & (rows["mark"] == F.col("own_mark")) & (rows["uid"] == F.col("rep")))
+    wanted = reps.where("uid = rep").join(wanted, "rep").select("rep", F.col("mark").alias("own"))
+    # the mark is no join key: rows are then dealt by rep alone, as the buckets are, and each bucket is one file
+    texts = rows.join(wanted, (rows["uid"] == F.col("rep")) & (rows["mark"].bitwiseXOR(F.col("own")) == 0))
     texts = stored(texts.select("rep", "text"), "join-texts", by="rep")
     outlines = stored(sizes.join(wanted.select("rep"), sizes["uid"] == F.col("rep")).select("rep", "n", "sketch"), "join-outlines")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """(a, b) of the pairs that link. Of a pair, the one that is in more pairs sends its text once per ``PER_LEADER`` of them."""
+    def outlined(pairs: DataFrame) -> DataFrame:
+        """The pairs that sizes and sketches don't rule out."""
         left = outlines.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
         right = outlines.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
         sized = pairs.join(left, "a").join(right, "b").where(may_link(percent, *map(F.col, ("na", "nb", "sa", "sb")))).select("a", "b")
-        sized = stored(sized, "join-sized")
+        return stored(sized, "join-sized")
+
+    def verified(sized: DataFrame) -> DataFrame:
+        """(a, b) of the pairs that link. Of a pair, the one that is in more pairs sends its text once per ``PER_LEADER`` of them."""
         often = sized.select(F.explode(F.array("a", "b")).alias("x")).groupBy("x").agg(F.count("*").alias("times"))
         turned = sized.join(often.select(F.col("x").alias("a"), F.col("times").alias("ta")), "a").join(
             often.select(F.col("x").alias("b"), F.col("times").alias("tb")), "b")
@@ -369,11 +372,13 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     pairs = stored(pairs.select("a", F.col("rep").alias("b")), "join-pairs")
     tested = pairs
     while True:
-        links = verified(pairs)
-        above = links.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(
-            roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-        joined = components(above).select(F.col("node").alias("root"), F.col("root").alias("top"))
-        roots = stored(roots.join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "join-roots")
+        likely = outlined(pairs)
+        if not likely.isEmpty():  # else nothing new is connected
+            links = verified(likely)
+            above = links.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(
+                roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+            joined = components(above).select(F.col("node").alias("root"), F.col("root").alias("top"))
+            roots = stored(roots.join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "join-roots")
 
         open_ = members.join(roots.withColumnRenamed("node", "rep"), "rep")
         apart = open_.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("gid")
