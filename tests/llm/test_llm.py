@@ -365,3 +365,24 @@ def test_pipeline_stages_take_effect(spark):
         texts = {r["doc_id"]: r["text"] for r in out.collect()}
         assert all(inputs[d] == t for d, t in texts.items())
         docs = out
+
+
+def test_sketches_never_rule_out_a_link(spark):
+    """Pairs on both sides of the threshold and of a doubling of the sketch: no link is lost, most far pairs are."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for size in [1, 2, 4, 15, 16, 17, 60, 64, 70, 255, 256, 300]:
+        for changed in range(0, size + 1, max(1, size // 12)):
+            a = np.unique(rng.integers(0, 1 << 48, size, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[changed:], rng.integers(0, 1 << 48, changed // 2, dtype=np.uint64)]))
+            if not len(b):
+                continue
+            sa, sb = ngram_join.sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+            common = len(np.intersect1d(a, b))
+            share = 100 * common / (len(a) + len(b) - common)
+            rows.append((len(a), len(b), sa.tolist(), sb.tolist(), share))
+    frame = spark.createDataFrame(rows, "na long, nb long, sa array<long>, sb array<long>, share double")
+    got = frame.select("share", ngram_join.may_link(80, *map(F.col, ("na", "nb", "sa", "sb"))).alias("may")).collect()
+    assert all(r["may"] for r in got if r["share"] >= 80)
+    far = [r["may"] for r in got if r["share"] < 60]
+    assert sum(far) < 0.1 * len(far)
