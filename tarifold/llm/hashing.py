@@ -54,6 +54,18 @@ def chunks(texts: list[bytes], limit: int = CHUNK):
         yield start, texts[start:]
 
 
+def pair_chunks(pairs: list[tuple[bytes, bytes]], limit: int = CHUNK):
+    """(first index, pairs) of runs of about ``limit`` bytes of both texts; a longer pair is a run by itself."""
+    start, held = 0, 0
+    for i, (a, b) in enumerate(pairs):
+        if held and held + len(a) + len(b) > limit:
+            yield start, pairs[start:i]
+            start, held = i, 0
+        held += len(a) + len(b)
+    if start < len(pairs):
+        yield start, pairs[start:]
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and where each text's words begin (one more entry than texts)."""
     lengths = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import free_name, stored
 from .components import components
-from .hashing import FACTORS, U, chunks, mix, shingle_sets
+from .hashing import FACTORS, U, chunks, mix, pair_chunks, shingle_sets
 
 #: Groups of at most this many members are held together as one row; larger ones are split up.
 LIGHT = 32
@@ -269,12 +269,13 @@ def _verify(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             alike = np.zeros(len(batch), dtype=bool)
-            for first, texts in chunks([t.encode("utf-8", "replace") for pair in zip(batch["ta"], batch["tb"], strict=True) for t in pair]):
-                sets, at = shingle_sets(texts)
-                for i in range(first + first % 2, first + len(texts) - 1, 2):
-                    x, y = (sets[at[j]:at[j + 1]] for j in (i - first, i - first + 1))
+            sides = ([t.encode("utf-8", "replace") for t in batch[side]] for side in ("ta", "tb"))
+            for first, pairs in pair_chunks(list(zip(*sides, strict=True))):
+                sets, at = shingle_sets([t for pair in pairs for t in pair])
+                for i in range(len(pairs)):
+                    x, y = (sets[at[j]:at[j + 1]] for j in (2 * i, 2 * i + 1))
                     common = len(np.intersect1d(x, y, assume_unique=True))
-                    alike[i // 2] = 100 * common >= percent * (len(x) + len(y) - common)
+                    alike[first + i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield batch.loc[alike, ["a", "b"]]
 
     return run

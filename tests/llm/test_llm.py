@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,6 +102,28 @@ def test_ngram_join_of_many_near_copies(spark, tmp_path):
     assert Counter((r["id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(rows)
 
 
+def test_ngram_join_of_long_near_copies(spark, tmp_path):
+    """Two texts of 600 KB each, together more than is hashed at once."""
+    words = [f"long{i:06d}" for i in range(600_000 // 11)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:-9], "other", "end"])), (3, "short text of no kin")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    got = ngram_join.jaccard_components(spark.read.parquet(str(tmp_path / "d"))).collect()
+    assert Counter((r["id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(rows)
+
+
+def test_no_pair_of_a_large_batch_is_skipped():
+    """Several MiB of pairs in one batch, every other one alike, of sizes that put cuts at all places."""
+    random = np.random.default_rng(5)
+    pairs = []
+    for k in range(120):
+        words = [f"p{k}w{i}" for i in range(random.integers(100, 5000))]
+        pairs.append((" ".join(words), " ".join(words[3:] if k % 2 else [w + "z" for w in words])))
+    batch = pd.DataFrame({"a": range(120), "b": range(1000, 1120), "ta": [a for a, _ in pairs], "tb": [b for _, b in pairs]})
+    assert sum(len(a) + len(b) for a, b in pairs) > 4 << 20
+    got = pd.concat(ngram_join._verify(80)(iter([batch])))["a"].tolist()
+    assert got == [k for k, (a, b) in enumerate(pairs) if 100 * len(grams(a) & grams(b)) >= 80 * len(grams(a) | grams(b))]
+
+
 def test_every_size_of_set_finds_its_partners():
     """Entries of sets at exactly the allowed difference meet, at each size."""
     random = np.random.default_rng(1)
