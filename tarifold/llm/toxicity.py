@@ -17,6 +17,10 @@ BLANK = re.compile(rb"[\x20\x09-\x0D]+")
 SMALL = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 WINDOW_WORDS, WINDOW_BYTES = 8, 512
 LEVEL = 3
+#: Three-word hashes by which near copies among the labelled texts are told.
+MARKS = 32
+#: A class with fewer different texts than this is learnt from all its texts.
+FEWEST = 300
 
 
 @dataclass(frozen=True)
@@ -61,15 +65,25 @@ def features(text: str, plain, toxic) -> list[float]:
 
 
 def _different(docs: list[list[bytes]]) -> list[list[bytes]]:
-    """Without near copies, which would make chance words look like those of the class."""
-    seen: set[int] = set()
+    """Without near copies, which would make chance words look like those of the class.
+
+    A text's marks are its ``MARKS`` smallest three-word hashes. It is a near copy if three quarters of them, or of the
+    other's if those are more, are marks of one text kept before. Where fewer than ``FEWEST`` texts
+    would be left, all teach.
+    """
+    holders: dict[int, list[int]] = {}
+    sizes: list[int] = []
     kept = []
     for words in docs:
-        marks = sorted(zlib.crc32(b" ".join(words[i:i + 3])) for i in range(max(1, len(words) - 2)))[:8]
-        if seen.isdisjoint(marks):
-            kept.append(words)
-        seen.update(marks)
-    return kept
+        marks = sorted({zlib.crc32(b" ".join(words[i:i + 3])) for i in range(max(1, len(words) - 2))})[:MARKS]
+        shared = Counter(k for m in marks for k in holders.get(m, ()))
+        if any(4 * n >= 3 * max(len(marks), sizes[k]) for k, n in shared.items()):
+            continue
+        for m in marks:
+            holders.setdefault(m, []).append(len(kept))
+        sizes.append(len(marks))
+        kept.append(words)
+    return kept if len(kept) >= FEWEST else docs
 
 
 def _dictionary(samples: list[bytes], size: int, k: int, d: int) -> bytes:

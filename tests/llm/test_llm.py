@@ -336,6 +336,25 @@ def test_toxicity_learns_and_bears_awkward_rows(spark, docs, nothing):
     assert toxicity.toxicity_scores(nothing, model).count() == 0
 
 
+def test_toxicity_learns_from_texts_that_share_a_phrase():
+    random = np.random.default_rng(9)
+    word = lambda: "".join(random.choice(list("aeioubdkl"), 6))
+    bad = ["grobnix", "fulzator", "skumwert", "pathozid"]
+    footer = " ".join(word() for _ in range(40))
+    # up to ten words with one phrase in all of them, and longer ones above one footer
+    short = lambda i: f"{word()} {word()} {bad[i % 4]} you really are {bad[i // 4 % 4]} {word()}"
+    plain = lambda: " ".join(word() for _ in range(40))
+    for toxic in ([short(i) for i in range(400)], [f"{plain()} {bad[i % 4]} {word()} {bad[i // 4 % 4]} {footer}" for i in range(400)]):
+        docs = [toxicity.word_list(t) for t in toxic]
+        assert len(toxicity._different(docs)) == 400
+        model = toxicity.train([*toxic, *(plain() + " " + footer for _ in range(400))], [1] * 400 + [0] * 400, 0.5)
+        plain_c, toxic_c = toxicity.compressor(model.ordinary), toxicity.compressor(model.toxic)
+        assert toxicity.features(toxic[0], plain_c, toxic_c)[0] > toxicity.features(plain(), plain_c, toxic_c)[0]
+        # near copies of a class that is large enough teach once; a small class is not emptied
+        assert len(toxicity._different([*docs, *([*d, b"end"] for d in docs[:50] if len(d) > 40)])) == 400
+        assert len(toxicity._different(docs[:1] * 5)) == 5
+
+
 def test_chat_round_trip(spark):
     rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"turn {t} <|end|> \\l \\b " + "x" * (t * 40 % 700), "c") for t in range(60)]
     rows += [(2, 0, "system", "be kind", "c"), (2, 1, "user", None, "c"), (2, 2, "assistant", "</s>[INST] ok", "c"), (2, 2, "assistant", "</s>[INST] ok", "c")]
