@@ -1,7 +1,7 @@
 """Pulling fixed kinds of elements out of page text with built-in regex functions.
 
-This is extraction for the handful of elements shop pages use, not a selector engine: an
-element ends at the first closing tag of its own name.
+This is extraction for the handful of elements shop pages use, not a selector engine. An element
+ends at the closing tag that belongs to it: opening and closing tags of its name are counted.
 """
 
 from __future__ import annotations
@@ -37,18 +37,89 @@ def class_contains(part: str) -> str:
 
 
 def element(condition: str = "", tag: str = r"\w+") -> str:
-    """Pattern of an element: group 0 is the whole, group 2 the inside."""
+    """Pattern of an element's opening tag: group 1 is its name."""
     gap = r"[^>]*" + condition if condition else ""
-    return rf"(?is)<({tag})\b{gap}[^>]*>(.*?)</\1\s*>"
+    return rf"(?is)<({tag})\b{gap}[^>]*>"
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _tags(html: Column, pattern: Column) -> Column:
+    """Tags of a pattern as ``array<struct<gap, tag>>``; ``gap`` is the length of the text before each."""
+    tags = F.regexp_extract_all(html, pattern, F.lit(0))
+    gaps = F.transform(F.split(html, pattern, -1), F.length)
+    return _let(tags, lambda ts: F.zip_with(F.slice(gaps, F.lit(1), F.size(ts)), ts, lambda g, t: F.struct(g.alias("gap"), t.alias("tag"))))
+
+
+def _ends(rest: Column, name: Column) -> Column:
+    """Lengths of ``rest``, what follows an opening tag, up to its closing tag (``inner``) and with it (``outer``).
+
+    Where the counts never meet, as something inside is not closed, the last closing tag counts; -1 if there is none.
+    """
+    tags = _tags(rest, F.concat(F.lit("(?is)</?"), name, F.lit(r"(?=[\s/>])[^>]*>")))
+    names = ("depth", "at", "inner", "outer")
+    zero = F.struct(*[F.lit(v).alias(n) for n, v in zip(names, (1, 0, -1, -1), strict=True)])
+
+    def step(s: Column, t: Column) -> Column:
+        closes = t["tag"].startswith("</")
+        before = s["at"] + t["gap"]
+        after = before + F.length(t["tag"])
+        depth = s["depth"] + F.when(closes, -1).when(t["tag"].endswith("/>"), 0).otherwise(1)
+        values = (depth, after, F.when(closes, before).otherwise(s["inner"]), F.when(closes, after).otherwise(s["outer"]))
+        return F.when(s["depth"] == 0, s).otherwise(F.struct(*[v.alias(n) for n, v in zip(names, values, strict=True)]))
+
+    return F.aggregate(tags, zero, step)
+
+
+def elements(html: Column, pattern: str) -> Column:
+    """Elements, also those inside one another, as ``array<struct<start, end, whole, inside>>`` in page order."""
+    return _let(html, lambda page: _elements(page, pattern))
+
+
+def _elements(html: Column, pattern: str) -> Column:
+    zero = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<rest:int,tag:string>>").alias("found"))
+
+    def place(s: Column, t: Column) -> Column:
+        rest = s["at"] + t["gap"] + F.length(t["tag"])
+        return F.struct(rest.alias("at"), F.concat(s["found"], F.array(F.struct(rest.alias("rest"), t["tag"].alias("tag")))).alias("found"))
+
+    def cut(o: Column) -> Column:
+        def parts(rest: Column) -> Column:
+            return _let(_ends(rest, F.regexp_extract(o["tag"], pattern, 1)), lambda e: F.when(e["outer"] >= 0, F.struct(
+                (o["rest"] - F.length(o["tag"])).alias("start"), (o["rest"] + e["outer"]).alias("end"),
+                F.concat(o["tag"], F.substring(rest, F.lit(1), e["outer"])).alias("whole"),
+                F.substring(rest, F.lit(1), e["inner"]).alias("inside"))))
+
+        return _let(F.substring(html, o["rest"], F.length(html)), parts)
+
+    opened = F.aggregate(_tags(html, F.lit(pattern)), zero, place, lambda s: s["found"])
+    return F.array_compact(F.transform(opened, cut))
+
+
+def outermost(found: Column) -> Column:
+    """Those of :func:`elements` that are in no other."""
+    return _let(found, lambda es: F.filter(es, lambda e: ~F.exists(es, lambda o: (o["start"] < e["start"]) & (e["end"] <= o["end"]))))
+
+
+def first_element(html: Column, pattern: str, part: str = "inside") -> Column:
+    """Inside (or ``whole``) of the first such element; NULL where there is none."""
+    return F.try_element_at(elements(html, pattern), F.lit(1))[part]
 
 
 def first_inside(html: Column, pattern: str) -> Column:
-    """Inside of the first such element; NULL where there is none."""
-    return F.when(html.rlike(pattern), F.regexp_extract(html, pattern, 2))
+    return first_element(html, pattern)
 
 
 def all_inside(html: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(2))
+    return F.transform(elements(html, pattern), lambda e: e["inside"])
+
+
+def without(html: Column, pattern: str) -> Column:
+    """The page without such elements."""
+    return F.aggregate(elements(html, pattern), html, lambda h, e: F.replace(h, e["whole"], F.lit("")))
 
 
 def absolute_url(origin: Column, ref: Column) -> Column:

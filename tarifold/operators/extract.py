@@ -74,22 +74,36 @@ def _children(node: Column) -> Column:
     return json_items(F.from_json(node, "`@graph` STRING")["@graph"])
 
 
+def _all_nodes(script: Column) -> Column:
+    """Nodes of a script level by level, ``@graph`` in ``@graph`` without limit.
+
+    Each level has a key that is written out or holds an escape, so there are at most as many levels as such places.
+    """
+    levels = F.sequence(F.lit(0), F.regexp_count(script, F.lit(r"@graph|\\u")))
+    top = json_items(script)
+    zero = F.struct(top.alias("nodes"), top.alias("last"))
+
+    def step(s: Column, _: Column) -> Column:
+        below = F.flatten(F.transform(s["last"], _children))
+        return F.when(F.size(s["last"]) == 0, s).otherwise(
+            F.transform(F.array(below), lambda b: F.struct(F.concat(s["nodes"], b).alias("nodes"), b.alias("last")))[0])
+
+    return F.aggregate(levels, zero, step, lambda s: s["nodes"])
+
+
 def with_json_ld(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``json_ld``, the text of the first product node, and ``_ld``, its fields.
 
     Scripts count in page order, unparsable ones are skipped, members of ``@graph`` come after
-    all top-level nodes of their script.
+    all nodes of the level above in their script.
     """
     scripts = F.filter(
         M.scripts_of_type(F.col(html), r"application/ld\+json"), lambda s: F.try_parse_json(s).isNotNull()
     )
-    join = lambda a, b: F.concat(a, b)
-    top = computed_once(pages, _l0=F.transform(scripts, json_items))
-    below = computed_once(top, _l1=F.transform("_l0", lambda ns: F.flatten(F.transform(ns, _children))))
-    below = computed_once(below, _l2=F.transform("_l1", lambda ns: F.flatten(F.transform(ns, _children))))
-    nodes = F.flatten(F.zip_with(F.zip_with("_l0", "_l1", join), "_l2", join))
-    found = computed_once(below, json_ld=F.try_element_at(F.filter(nodes, _type_is_product), F.lit(1)))
-    return computed_once(found.drop("_l0", "_l1", "_l2"), _ld=F.from_json("json_ld", LD_NODE))
+    top = computed_once(pages, _scripts=scripts)
+    nodes = computed_once(top, _nodes=F.flatten(F.transform("_scripts", _all_nodes)))
+    found = computed_once(nodes, json_ld=F.try_element_at(F.filter("_nodes", _type_is_product), F.lit(1)))
+    return computed_once(found.drop("_scripts", "_nodes"), _ld=F.from_json("json_ld", LD_NODE))
 
 
 def named_or_text(value: Column) -> Column:
@@ -178,18 +192,18 @@ def dom_brand(html: Column) -> Column:
 def dom_description(html: Column) -> Column:
     """The description element with its markup."""
     whole = M.element(M.class_contains("description"))
-    outer = F.regexp_extract(html, whole, 0)
-    value = F.regexp_extract(F.regexp_extract(html, whole, 2), M.element(M.with_class("value")), 0)
-    return F.coalesce(F.nullif(value, F.lit("")), outer)
+    value = M.first_element(M.first_inside(html, whole), M.element(M.with_class("value")), "whole")
+    return F.coalesce(value, M.first_element(html, whole, "whole"), F.lit(""))
 
 
 def dom_prices(html: Column) -> Column:
     """Positive prices of all price elements that are not inside an old-price wrapper."""
     old = rf"(?:{M.with_class('old-price')}|{M.with_attribute('data-price-type', 'oldPrice')})"
-    current = F.regexp_replace(html, M.element(old), "")
-    boxes = M.all_inside(current, M.element(M.with_class("price")))
-    inserted = F.flatten(F.transform(boxes, lambda b: M.all_inside(b, M.element(tag="ins"))))
-    amounts = F.flatten(F.transform(inserted, lambda b: M.all_inside(b, M.element(M.with_class("amount")))))
+    found = M.elements(M.without(html, M.element(old)), M.element(M.with_class("price")))
+    boxes = F.transform(found, lambda e: e["inside"])
+    outer = F.transform(M.outermost(found), lambda e: e["inside"])
+    inserted = M.all_inside(F.array_join(outer, " "), M.element(tag="ins"))
+    amounts = M.all_inside(F.array_join(inserted, " "), M.element(M.with_class("amount")))
     values = F.transform(F.concat(boxes, inserted, amounts), lambda b: parse_price(node_text(b)))
     return F.filter(values, lambda v: v > 0)
 
@@ -217,8 +231,8 @@ def breadcrumbs(html: Column, denylist=D.BREADCRUMB_DENYLIST) -> Column:
     """Links of the first navigation that has any, without blanks and site pages."""
 
     def links(container: str) -> Column:
-        inside = F.array_join(M.all_inside(html, M.element(container) if container else M.element(tag="nav")), " ")
-        return M.all_inside(inside, M.element(tag="a"))
+        found = M.outermost(M.elements(html, M.element(container) if container else M.element(tag="nav")))
+        return M.all_inside(F.array_join(F.transform(found, lambda e: e["inside"]), " "), M.element(tag="a"))
 
     options = [links(""), links(M.with_class("breadcrumb")), links(M.with_class("breadcrumbs"))]
     chosen = F.coalesce(*[F.when(F.size(o) > 0, o) for o in options], none_texts())

@@ -27,3 +27,31 @@ def test_failed_page_ends_paging(spark):
 def test_makes_are_plain_text(spark):
     df = spark.createDataFrame([("kit a.b x",), ("kit acb x",)], "t string")
     assert [r[0] for r in df.select(fitment.title_make(F.col("t"), ["a.b"])).collect()] == ["a.b", ""]
+
+
+def test_elements_end_at_their_own_closing_tag(one):
+    """Each holder nests another element of its own name before what is looked for."""
+    deep = "<div>" * 30 + "x" + "</div>" * 30
+    page = f'<div class="description"><div>first</div>{deep}<p>last</p></div><div>other</div>'
+    assert one(extract.dom_description, page) == [page.removesuffix("<div>other</div>")]
+    value = '<div class="value"><div>a</div><div/>b</div>'
+    assert one(extract.dom_description, f'<div class="description"><div>h</div>{value}</div>', '<img class="description">') == [value, ""]
+    old = '<span class="old-price"><span>was</span><span class="price">€ 1,00</span></span>'
+    box = '<span class="price"><span>now</span><ins><span class="amount">€ 20,00</span></ins></span>'
+    assert one(extract.dom_prices, old + box, old) == [[20.0, 20.0, 20.0], []]
+    menu = '<nav><nav><a href="/a">Een</a></nav><a href="/b">Twee</a></nav>'
+    crumbs = '<div class="breadcrumbs"><div><a>Een</a></div><div><a>Twee</a></div></div>'
+    assert one(extract.breadcrumbs, menu, crumbs) == [["Een", "Twee"], ["Een", "Twee"]]
+    assert one(extract.dom_description, '<div class="description"><div>open</div><div>a</div>') == ['<div class="description"><div>open</div><div>a</div>']
+
+
+def test_graph_nodes_at_any_depth(spark):
+    def page(depth, key="@graph"):
+        node = '{"@type":"Product","name":"deep"}'
+        for _ in range(depth):
+            node = f'{{"{key}":[{{"@type":"Thing"}},{node}]}}'
+        return f'<script type="application/ld+json">{node}</script>'
+
+    rows = [(i, page(d)) for i, d in enumerate([0, 1, 2, 3, 4, 12])] + [(9, page(5, "\\u0040graph"))]
+    found = extract.with_json_ld(spark.createDataFrame(rows, "ord int, html string")).select("ord", "_ld.name").collect()
+    assert {(r["ord"], r["name"]) for r in found} == {(i, "deep") for i, _ in rows}
