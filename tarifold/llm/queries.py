@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, line_dedup, lm_scoring, mixing, nearest, ngram_join, sharding, suffix_dedup, toxicity
-from .common import table
+from . import chat, decontaminate, line_dedup, lm_scoring, merkle, mixing, nearest, ngram_join, sharding, suffix_dedup, toxicity
+from .common import lower_ascii, table
 
 SHARDS = 24
 SEED = 11
@@ -81,7 +81,15 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("answers").cast("long").alias("loss_chars"), F.sha2("answers", 256).alias("loss_sha256"), "formatted_chars")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op3_lm_scoring, op4_sharding, op5_mixing, op6_nearest_neighbours, op7_toxicity, op8_decontamination, op9_suffix_dedup, op10_chat_formatting)}
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = merkle.leaf_hash(*[lower_ascii(F.col(c)) if c == "text" else F.col(c) for c in merkle.COLUMNS])
+    manifest = merkle.build_manifest(table(spark, folder, "documents"), F.when(crc_share(5) == 0, tampered))
+    return merkle.prove(manifest).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op3_lm_scoring, op4_sharding, op5_mixing, op6_nearest_neighbours, op7_toxicity, op8_decontamination, op9_suffix_dedup, op10_chat_formatting,
+                                  op13_merkle_manifest)}
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -97,6 +105,18 @@ def _grams(source: str, key: str) -> str:
                       FROM {source})) WHERE n > 0)"""
 
 
+def _leaf(text: str) -> str:
+    """A row as the Merkle leaf's input."""
+    return " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || ({c})::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text))
+
+
+#: The nodes above a list of nodes.
+_MERGED = "list_transform(range(0, (len(nodes) + 15) // 16), lambda k: sha256(array_to_string(nodes[k * 16 + 1 : k * 16 + 16], '')))"
+#: crc32 of the decimal id: bytes are mixed in, eight shifts (-1) follow each.
+_CRC = ("xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''), "
+        "lambda x: [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), "
+        "lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) ELSE xor(c >> 1, (c & 1) * 3988292384) END))")
+
 ORACLES = {
     "op2_line_dedup": f"""
 WITH lines AS (
@@ -155,4 +175,30 @@ whole AS (
 SELECT w.conv_id, n_turns, sha256(lines) AS turns_sha256, length(answers) AS loss_chars, sha256(answers) AS loss_sha256,
        (w.chars + coalesce(a.chars, 0) + coalesce(h.chars, 0))::BIGINT AS formatted_chars
 FROM whole w LEFT JOIN repeated a ON a.conv_id IS NOT DISTINCT FROM w.conv_id LEFT JOIN headed h ON h.conv_id IS NOT DISTINCT FROM w.conv_id""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE rows_ AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, sha256({_leaf("text")}) AS leaf,
+         CASE WHEN {_CRC} % 5 = 0 THEN sha256({_leaf(_LOWER.format("text"))}) END AS claimed FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM rows_),
+levels(tree, level, nodes) AS (
+  SELECT tree, 0, list(leaf ORDER BY pos) FROM placed GROUP BY tree
+  UNION ALL SELECT tree, level + 1, {_MERGED} FROM levels WHERE len(nodes) > 1),
+subroots AS (SELECT tree, nodes[1] AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos FROM levels WHERE len(nodes) = 1),
+top(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY pos) FROM subroots
+  UNION ALL SELECT level + 1, {_MERGED} FROM top WHERE len(nodes) > 1),
+steps AS (
+  SELECT p.doc_id, p.tree, p.pos, 0 AS part, l.level, l.nodes, (p.pos // (16 ** l.level)::BIGINT) AS i
+  FROM placed p JOIN levels l ON l.tree = p.tree AND len(l.nodes) > 1
+  UNION ALL SELECT p.doc_id, p.tree, p.pos, 1, t.level, t.nodes, (s.pos // (16 ** t.level)::BIGINT)
+  FROM placed p JOIN subroots s ON s.tree = p.tree JOIN top t ON len(t.nodes) > 1),
+sides AS (
+  SELECT tree, pos, part, level, array_to_string(nodes[i // 16 * 16 + 1 : i], '') AS l, array_to_string(nodes[i + 2 : i // 16 * 16 + 16], '') AS r FROM steps),
+witnesses AS (
+  SELECT tree, pos, list(l || '|' || r ORDER BY part, level) AS w, string_agg(l || r, '' ORDER BY part, level) AS siblings FROM sides GROUP BY tree, pos),
+folded AS (
+  SELECT p.doc_id, p.leaf, s.subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+         list_reduce(list_prepend(coalesce(claimed, leaf), coalesce(w, [])), lambda x, y: sha256(split_part(y, '|', 1) || x || split_part(y, '|', 2))) AS folded_root
+  FROM placed p JOIN subroots s ON s.tree = p.tree LEFT JOIN witnesses v ON v.tree = p.tree AND v.pos = p.pos)
+SELECT *, folded_root = root AS verified FROM folded""",
 }
