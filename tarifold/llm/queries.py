@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, line_dedup, lm_scoring, merkle, mixing, nearest, ngram_join, sharding, suffix_dedup, toxicity
+from . import chat, decontaminate, lexical, line_dedup, lm_scoring, merkle, mixing, nearest, ngram_join, sharding, suffix_dedup, toxicity
 from .common import lower_ascii, table
 
 SHARDS = 24
@@ -81,6 +81,10 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("answers").cast("long").alias("loss_chars"), F.sha2("answers", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     tampered = merkle.leaf_hash(*[lower_ascii(F.col(c)) if c == "text" else F.col(c) for c in merkle.COLUMNS])
     manifest = merkle.build_manifest(table(spark, folder, "documents"), F.when(crc_share(5) == 0, tampered))
@@ -89,7 +93,7 @@ def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op3_lm_scoring, op4_sharding, op5_mixing, op6_nearest_neighbours, op7_toxicity, op8_decontamination, op9_suffix_dedup, op10_chat_formatting,
-                                  op13_merkle_manifest)}
+                                  op12_lexical_search, op13_merkle_manifest)}
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -110,6 +114,8 @@ def _leaf(text: str) -> str:
     return " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || ({c})::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text))
 
 
+#: The terms of a text, lower-cased.
+_TERMS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 #: The nodes above a list of nodes.
 _MERGED = "list_transform(range(0, (len(nodes) + 15) // 16), lambda k: sha256(array_to_string(nodes[k * 16 + 1 : k * 16 + 16], '')))"
 #: crc32 of the decimal id: bytes are mixed in, eight shifts (-1) follow each.
@@ -175,6 +181,18 @@ whole AS (
 SELECT w.conv_id, n_turns, sha256(lines) AS turns_sha256, length(answers) AS loss_chars, sha256(answers) AS loss_sha256,
        (w.chars + coalesce(a.chars, 0) + coalesce(h.chars, 0))::BIGINT AS formatted_chars
 FROM whole w LEFT JOIN repeated a ON a.conv_id IS NOT DISTINCT FROM w.conv_id LEFT JOIN headed h ON h.conv_id IS NOT DISTINCT FROM w.conv_id""",
+    "op12_lexical_search": f"""
+WITH terms AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS all_terms FROM lengths),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM postings, whole GROUP BY term, docs),
+items AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (
+  SELECT i.item_id, p.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // all_terms))))::BIGINT AS score
+  FROM items i JOIN postings p USING (term) JOIN weights USING (term) JOIN lengths l ON l.doc_id = p.doc_id, whole GROUP BY i.item_id, p.doc_id)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10""",
     "op13_merkle_manifest": f"""
 WITH RECURSIVE rows_ AS (
   SELECT doc_id, coalesce('=' || source, '') AS tree, sha256({_leaf("text")}) AS leaf,
