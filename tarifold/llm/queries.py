@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, lexical, line_dedup, lm_scoring, merkle, mixing, nearest, ngram_join, sharding, suffix_dedup, toxicity
+from . import chat, decontaminate, lexical, license_scan, line_dedup, lm_scoring, merkle, mixing, nearest, ngram_join, sharding, suffix_dedup, toxicity
 from .common import lower_ascii, table
 
 SHARDS = 24
@@ -81,6 +81,12 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("answers").cast("long").alias("loss_chars"), F.sha2("answers", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    scanned = license_scan.scan_licenses(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "licenses.*")
+    return scanned.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+                          F.array_join("labels", ",").alias("labels"), "score")
+
+
 def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -93,7 +99,7 @@ def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op3_lm_scoring, op4_sharding, op5_mixing, op6_nearest_neighbours, op7_toxicity, op8_decontamination, op9_suffix_dedup, op10_chat_formatting,
-                                  op12_lexical_search, op13_merkle_manifest)}
+                                  op11_license_scan, op12_lexical_search, op13_merkle_manifest)}
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -123,6 +129,13 @@ _CRC = ("xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_trans
         "lambda x: [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), "
         "lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) ELSE xor(c >> 1, (c & 1) * 3988292384) END))")
 
+def _phrases() -> str:
+    """The licence rules as rows (num, template, place, words, label, base)."""
+    rules = license_scan.rules_of(license_scan.BASE, license_scan.TEMPLATES)
+    return ", ".join(f"({n}, {p.template}, {p.at}, {list(p.words)}, '{rules.labels[p.template]}', {rules.base[p.template]})"
+                     for n, p in enumerate(rules.phrases))
+
+
 ORACLES = {
     "op2_line_dedup": f"""
 WITH lines AS (
@@ -181,6 +194,27 @@ whole AS (
 SELECT w.conv_id, n_turns, sha256(lines) AS turns_sha256, length(answers) AS loss_chars, sha256(answers) AS loss_sha256,
        (w.chars + coalesce(a.chars, 0) + coalesce(h.chars, 0))::BIGINT AS formatted_chars
 FROM whole w LEFT JOIN repeated a ON a.conv_id IS NOT DISTINCT FROM w.conv_id LEFT JOIN headed h ON h.conv_id IS NOT DISTINCT FROM w.conv_id""",
+    "op11_license_scan": f"""
+WITH phrases AS (SELECT *, count(*) OVER w AS n_phrases, min(num) OVER w AS first_num, sum(len(words)) OVER w AS n_key
+                 FROM (VALUES {_phrases()}) v(num, template, place, words, label, base) WINDOW w AS (PARTITION BY template)),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+places AS (
+  SELECT doc_id, num, template, start, len(words) AS size, floor((start - place) / {license_scan.SLACK}) AS cell, label, base, n_phrases, first_num, n_key
+  FROM (SELECT *, unnest(range(0, len(w) - len(words) + 1)) AS start FROM d JOIN phrases
+        ON contains(' ' || array_to_string(w, ' ') || ' ', ' ' || array_to_string(words, ' ') || ' '))
+  WHERE w[start + 1 : start + len(words)] = words),
+met AS (
+  SELECT f.doc_id, f.label, f.base FROM places f JOIN places o ON o.doc_id = f.doc_id AND o.template = f.template AND abs(o.cell - f.cell) <= 1
+  WHERE f.num = f.first_num GROUP BY f.doc_id, f.template, f.cell, f.label, f.base, f.n_phrases HAVING count(DISTINCT o.num) = f.n_phrases),
+labelled AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM met GROUP BY doc_id),
+shares AS (SELECT doc_id, max(share) AS score FROM (
+  SELECT doc_id, sum(size) / max(n_key)::DOUBLE AS share FROM (SELECT DISTINCT doc_id, template, num, size, n_key FROM places) GROUP BY doc_id, template) GROUP BY doc_id),
+own AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word FROM places WHERE base GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM d LEFT JOIN labelled USING (doc_id) LEFT JOIN shares USING (doc_id) LEFT JOIN own USING (doc_id)""",
     "op12_lexical_search": f"""
 WITH terms AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
 postings AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
