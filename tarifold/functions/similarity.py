@@ -124,23 +124,30 @@ def pair_scores(left: pd.Series, right: pd.Series) -> np.ndarray:
     return np.where((la > 0) & (lb > 0), 2.0 * lcs / np.maximum(la + lb, 1), 0.0)
 
 
-@F.pandas_udf(T.DoubleType())
-def _similarity(left: pd.Series, right: pd.Series) -> pd.Series:
-    size = 4096
-    parts = [
-        pair_scores(left.iloc[i : i + size], right.iloc[i : i + size]) for i in range(0, len(left), size)
-    ]
-    return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+def sorted_similarity(a: Column, b: Column, pairs=None) -> Column:
+    """Similarity in 0..1 of two texts whose tokens are sorted; ``pairs``, an accumulator, counts them."""
+
+    @F.pandas_udf(T.DoubleType())
+    def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
+        size = 4096
+        parts = [
+            pair_scores(left.iloc[i : i + size], right.iloc[i : i + size]) for i in range(0, len(left), size)
+        ]
+        if pairs is not None:
+            pairs.add(len(left))
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return similarity(a, b)
 
 
 def token_sort_similarity(a: Column, b: Column) -> Column:
     """Similarity in 0..1 of two texts, whatever the order of their tokens."""
-    return _similarity(sorted_tokens(F.lower(a)), sorted_tokens(F.lower(b)))
+    return sorted_similarity(sorted_tokens(F.lower(a)), sorted_tokens(F.lower(b)))
 
 
 def best_in_tile(ours: list[str], theirs: list[str], stores: list[np.ndarray],
-                 offers: list[np.ndarray], threshold: float, block: int = 128):
-    """Best offer per (our text, store) among the texts of one tile.
+                 offers: list[np.ndarray], threshold: float, done: list[np.ndarray], pairs=None, block: int = 128):
+    """Best offer per (our text, store) among the texts of one tile, for stores that aren't ``done`` for our text.
 
     ``stores[j]`` and ``offers[j]`` list the stores that carry text ``j`` and their earliest
     offer. The shared-character bound is never below the score, so pairs are scored from the
@@ -160,17 +167,25 @@ def best_in_tile(ours: list[str], theirs: list[str], stores: list[np.ndarray],
     first = np.cumsum(carried) - carried
     store_ids, all_stores = np.unique(np.concatenate(stores), return_inverse=True)
     all_offers = np.concatenate(offers)
+    carries = np.zeros((len(store_ids), len(theirs)), dtype=np.float32)
+    carries[all_stores, np.repeat(np.arange(len(theirs)), carried)] = 1
     for start in range(0, len(ours), block):
         rows = slice(start, start + block)
+        wanted = np.array([~np.isin(store_ids, d) for d in done[rows]])
+        asked = wanted.astype(np.float32) @ carries > 0
+        if not asked.any():
+            continue
+        if pairs is not None:
+            pairs.add(int(asked.sum()))
         total = left.lengths[rows, None] + right.lengths[None, :]
         shared = np.zeros(total.shape, dtype=left_counts.dtype)
         for char in range(size):
             shared += np.minimum(left_counts[rows, char, None], right_counts[None, :, char])
         bound = 2.0 * shared / total
-        a, b = np.nonzero(bound >= threshold)
+        a, b = np.nonzero((bound >= threshold) & asked)
         order = np.argsort(-bound[a, b], kind="stable")
         a, b = a[order], b[order]
-        reached = np.zeros((len(total), len(store_ids)))
+        reached = np.where(wanted, 0.0, 1.0)
         won, step = [], 16 * block
         while len(a):
             part_a, part_b = a[:step], b[:step]
@@ -181,6 +196,8 @@ def best_in_tile(ours: list[str], theirs: list[str], stores: list[np.ndarray],
             index = np.repeat(first[part_b] - (np.cumsum(times) - times), times) + np.arange(times.sum())
             part_a, score = np.repeat(part_a, times), np.repeat(score, times)
             store, offer = all_stores[index], all_offers[index]
+            open_ = wanted[part_a, store]
+            part_a, score, store, offer = part_a[open_], score[open_], store[open_], offer[open_]
             np.maximum.at(reached, (part_a, store), score)
             won.append((part_a, store, score, offer))
             a, b = a[step:], b[step:]

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import best_in_tile, comparison_text
+from ..functions.similarity import best_in_tile, comparison_text, sorted_similarity
 from ..functions.text import filled
 from ..plans.skew import join_lookup
 from ..rules import settings as S
@@ -63,32 +63,99 @@ def _with_sku_matches(keyed: DataFrame, base: DataFrame, offers: DataFrame) -> D
     return joined.withColumn("by_sku", F.coalesce("by_sku", F.array().cast(MATCH)))
 
 
-def _length_bucket(threshold: float) -> Column:
-    """Matching lengths differ by a factor of at most ``(2 - t) / t``: buckets of slightly more
-    than that factor put them into the same or a neighbouring bucket."""
-    factor = math.log((2.0 - threshold) / threshold * 1.02)
-    return F.floor(F.log(F.length("text").cast("double")) / F.lit(factor)).cast("int")
+def _band_factor(threshold: float) -> float:
+    """Lengths of alike texts differ by a factor of at most ``(2 - t) / t``: bands of slightly more
+    than that factor put them into the same or a neighbouring band."""
+    return (2.0 - threshold) / threshold * 1.02
 
 
+def _length_band(threshold: float) -> Column:
+    return F.floor(F.log(F.length("text").cast("double")) / F.lit(math.log(_band_factor(threshold)))).cast("int")
+
+
+# --- near texts: a lossless index ---------------------------------------------------------------
+
+def _numbered_characters(text: Column) -> Column:
+    """Hashes of a text's characters, each with its number among equal ones: a set that is as large as the text."""
+    ordered = F.array_sort(F.regexp_extract_all(text, F.lit(r"(?s)."), F.lit(0)))
+    return F.transform(F.array(ordered), lambda cs: F.transform(
+        cs, lambda c, i: F.xxhash64(c, i - F.array_position(cs, c))))[0]
+
+
+def _near_keys(texts: DataFrame, near: float) -> DataFrame:
+    """Explode ``texts`` to the keys under which texts with a score of ``near`` or more meet.
+
+    Such texts differ in at most ``D = (1 - near) * (length + length)`` numbered characters. The characters are dealt
+    into ``D / 2 + 1`` groups by their hash, so in some group at most one differs, and it is in one text only. A key is a
+    group's combined hash, or that of the group without one character (``less``): one of the two is the whole group.
+    ``D`` follows the length band; a text has keys for its own band and, as the longer one (``upper``), for the band below.
+    """
+    factor = _band_factor(near)
+    xor = lambda hashes: F.aggregate(hashes, F.lit(0).cast("long"), lambda x, h: x.bitwiseXOR(h))
+
+    def group(of: Column, band: Column, groups: Column, j: Column) -> Column:
+        own = F.filter(of, lambda h: F.pmod(h, groups) == j)
+        key = lambda x: F.xxhash64(band, j, x)
+        return F.transform(F.array(F.struct(own.alias("own"), xor(own).alias("all"))), lambda g: F.concat(
+            F.array(F.struct(key(g["all"]).alias("key"), F.lit(False).alias("less"))),
+            F.transform(g["own"], lambda h: F.struct(key(g["all"].bitwiseXOR(h)).alias("key"), F.lit(True).alias("less")))))[0]
+
+    placed = texts.withColumns({"_set": _numbered_characters(F.col("text")), "_band": _length_band(near)})
+    placed = placed.withColumn("_as", F.explode(F.array(
+        F.struct(F.col("_band").alias("band"), F.lit(False).alias("upper")),
+        F.struct((F.col("_band") - 1).alias("band"), F.lit(True).alias("upper"))))).select("*", "_as.*")
+    most = F.pow(F.lit(factor), F.col("band") + 1) * F.lit(1.0 + factor) * F.lit(1.0 - near)
+    placed = placed.withColumn("_groups", (F.floor(F.floor(most + F.lit(1e-6)) / 2) + 1).cast("int"))
+    keys = F.flatten(F.transform(
+        F.sequence(F.lit(0), F.col("_groups") - 1), lambda j: group(F.col("_set"), F.col("band"), F.col("_groups"), j)))
+    return placed.select(*texts.columns, "upper", F.explode(keys).alias("_k")).select(*texts.columns, "upper", "_k.*")
+
+
+def near_pairs(ours: DataFrame, theirs: DataFrame, near: float) -> DataFrame:
+    """Pairs (``text``, ``other``) that can score ``near`` or more, each once; none that does is missing."""
+    left = _near_keys(ours.select("text"), near)
+    right = _near_keys(theirs.select("text"), near).withColumnsRenamed({"text": "other", "upper": "_upper", "less": "_less"})
+    met = left.join(right, "key").where("NOT (less AND _less) AND NOT (upper AND _upper)")
+    # texts of alike lengths only; cheap, and most pairs that share a key by chance go here
+    la, lb = F.length("text"), F.length("other")
+    return met.where(F.lit(2.0) * F.least(la, lb) >= F.lit(near - 1e-9) * (la + lb)).select("text", "other").distinct()
+
+
+def best_near(ours: DataFrame, theirs: DataFrame, near: float, pairs=None) -> DataFrame:
+    """Best offer per (our text, store) among the pairs that score ``near`` or more."""
+    met = near_pairs(ours, theirs, near)
+    scored = met.withColumn("score", sorted_similarity(F.col("text"), F.col("other"), pairs)).where(F.col("score") >= near)
+    carried = theirs.select(F.col("text").alias("other"), F.arrays_zip("stores", "offers").alias("_carried"))
+    each = scored.join(carried, "other").select("text", "score", F.inline("_carried").alias("comp_ord", "offer_ord"))
+    return _winners(each)
+
+
+def _winners(found: DataFrame) -> DataFrame:
+    best = F.max(F.struct("score", (-F.col("offer_ord")).alias("later"))).alias("best")
+    return found.groupBy("text", "comp_ord").agg(best).select(
+        "text", "comp_ord", "best.score", (-F.col("best.later")).alias("offer_ord")
+    )
+
+
+# --- the rest: tiles ----------------------------------------------------------------------------
+
 def _chunked(texts: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Texts with ``bucket`` and ``chunk``, and the chunk count of each bucket (a few dozen rows).
 
     Chunks are cut so that a tile stays small for short and for long texts alike.
     """
-    placed = texts.withColumn("bucket", _length_bucket(threshold))
+    placed = texts.withColumn("bucket", _length_band(threshold))
     side = F.greatest(F.lit(16), F.least(F.lit(TILE_SIDE), F.floor(F.lit(TILE_CELLS) / F.max(F.length("text")))))
     sizes = placed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / side).cast("int").alias("chunks"))
     chunk = F.pmod(F.xxhash64("text"), F.col("chunks")).cast("int")
     return placed.join(F.broadcast(sizes), "bucket").withColumn("chunk", chunk).drop("chunks"), sizes
 
 
-def best_by_text(ours: DataFrame, theirs: DataFrame, threshold: float = S.MIN_CONFIDENCE) -> DataFrame:
-    """Best offer per (our text, store).
+def best_in_tiles(ours: DataFrame, theirs: DataFrame, threshold: float, pairs=None) -> DataFrame:
+    """Best offer per (our text, store) for the stores that are not in ``done`` of our text.
 
-    ``ours`` has distinct ``text``; ``theirs`` distinct ``text`` with ``stores`` and ``offers``,
-    arrays of the same length. Both sides are cut into tiles by length bucket and hash, every
-    pair of tiles that can hold a match meets in one small task, and a task gives out winners
-    only, never pairs. Returns ``text, comp_ord, score, offer_ord``.
+    Both sides are cut into tiles by length band and hash, every pair of tiles that can hold a match meets in one
+    small task, and a task gives out winners only, never pairs.
     """
     left, left_sizes = _chunked(ours, threshold)
     right, right_sizes = _chunked(theirs, threshold)
@@ -115,7 +182,7 @@ def best_by_text(ours: DataFrame, theirs: DataFrame, threshold: float = S.MIN_CO
             texts = lp["text"].to_numpy(dtype=object)
             for a, store, score, offer in best_in_tile(
                 list(texts), list(rp["text"]), [np.asarray(x) for x in rp["stores"]],
-                [np.asarray(x) for x in rp["offers"]], threshold,
+                [np.asarray(x) for x in rp["offers"]], threshold, [np.asarray(x) for x in lp["done"]], pairs,
             ):
                 parts.append(pd.DataFrame(
                     {"text": texts[a], "comp_ord": store, "score": score, "offer_ord": offer}
@@ -130,10 +197,26 @@ def best_by_text(ours: DataFrame, theirs: DataFrame, threshold: float = S.MIN_CO
     found = left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(
         winners, "text string, comp_ord int, score double, offer_ord bigint"
     )
-    best = F.max(F.struct("score", (-F.col("offer_ord")).alias("later"))).alias("best")
-    return found.groupBy("text", "comp_ord").agg(best).select(
-        "text", "comp_ord", "best.score", (-F.col("best.later")).alias("offer_ord")
-    )
+    return _winners(found)
+
+
+def best_by_text(ours: DataFrame, theirs: DataFrame, threshold: float = S.MIN_CONFIDENCE, near: float = S.NEAR_CONFIDENCE,
+                 pairs=None) -> DataFrame:
+    """Best offer per (our text, store). ``ours`` has distinct ``text``; ``theirs`` distinct ``text`` with ``stores`` and
+    ``offers``, arrays of the same length. Returns ``text, comp_ord, score, offer_ord``.
+
+    Two rungs, as only the best offer counts. What scores ``near`` or more is found through an index and settles that
+    store for that text. Only texts with stores left go on to the exhaustive tiles, and there only against texts that such a
+    store carries. ``pairs`` is an accumulator that counts the pairs looked at.
+    """
+    if threshold >= near:
+        return best_near(ours, theirs, threshold, pairs)
+    settled = best_near(ours, theirs, near, pairs).checkpoint()
+    stores = theirs.select(F.explode("stores").alias("s")).agg(F.count_distinct("s").alias("n")).first()["n"]
+    done = settled.groupBy("text").agg(F.collect_list("comp_ord").alias("done"))
+    open_ = ours.select("text").join(done, "text", "left").withColumn("done", F.coalesce("done", F.array().cast("array<int>")))
+    rest = best_in_tiles(open_.where(F.size("done") < stores), theirs, threshold, pairs)
+    return settled.unionByName(rest)
 
 
 def offers_by_text(texts: DataFrame, offers: DataFrame, threshold: float = S.MIN_CONFIDENCE) -> DataFrame:

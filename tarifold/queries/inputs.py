@@ -61,23 +61,21 @@ FROM (SELECT l_partkey, l_suppkey, min(l_extendedprice) / 50e0 AS asked, max(l_d
   JOIN supplier ON l_suppkey = s_suppkey JOIN ({STORES}) s ON s.comp_ord = s_nationkey
   JOIN part ON l_partkey = p_partkey
 """
-# Offer titles with the words of the article in another order, few distinct ones.
-NAME_OFFERS = OFFERS.format(
-    title="""CASE flag WHEN 82 THEN substr(p_name, strpos(p_name, ' ') + 1) || ' ' || substr(p_name, 1, strpos(p_name, ' ') - 1)
-      WHEN 78 THEN p_name || ' kit' ELSE upper(p_name) END""".replace("strpos(p_name, ' ')", "instr(p_name, ' ')"),
-    vendor="''")
-# Offer titles with brand, kind and article: many distinct ones.
+# Offer titles with brand, kind and article in several orders: many distinct ones.
 FULL_OFFERS = OFFERS.format(
     title="""CASE flag WHEN 82 THEN p_name || ' ' || lower(p_type) WHEN 78 THEN lower(p_type) || ' ' || p_name || ' kit'
       ELSE upper(p_name) || ' ' || p_type END""", vendor="p_brand")
+# Offer titles of the trade, without the year or with a word more.
+TRADE_OFFERS = OFFERS.format(
+    title=f"CASE flag WHEN 82 THEN {_TITLE.format(make=MAKE, model=MODEL, year=chr(39) * 2)} WHEN 78 THEN upper({TITLE}) ELSE 'Origineel ' || {TITLE} END",
+    vendor=BRAND)
 
-# Products whose comparison text is the article name only, and with brand and kind.
-NAME_PRODUCTS = """
-SELECT p_partkey AS ord, 'https://shop.example/' || CAST(p_partkey AS STRING) AS url, p_name AS title,
-  CASE WHEN p_size = 50 THEN '' ELSE 'SKU-' || CAST(p_partkey AS STRING) END AS sku, '' AS brand, p_retailprice AS price_raw
+# Products whose comparison text is brand, kind and article.
+FULL_PRODUCTS = """
+SELECT p_partkey AS ord, 'https://shop.example/' || CAST(p_partkey AS STRING) AS url, p_type || ' ' || p_name AS title,
+  CASE WHEN p_size = 50 THEN '' ELSE 'SKU-' || CAST(p_partkey AS STRING) END AS sku, p_brand AS brand, p_retailprice AS price_raw
 FROM part
 """
-FULL_PRODUCTS = NAME_PRODUCTS.replace("p_name AS title", "p_type || ' ' || p_name AS title").replace("'' AS brand", "p_brand AS brand")
 
 # Currency snapshots, one per month of orders.
 FX = """

@@ -175,9 +175,9 @@ def _(t):
                                 F.round(O.minor_unit_price(prices), 6).alias("price"))
 
 
-@query("offers_of_all_stores", f"SELECT domain, count(*) AS offers, round(avg(price_eur), 4) AS mean_price FROM ({I.NAME_OFFERS}) o GROUP BY domain")
+@query("offers_of_all_stores", f"SELECT domain, count(*) AS offers, round(avg(price_eur), 4) AS mean_price FROM ({I.FULL_OFFERS}) o GROUP BY domain")
 def _(t):
-    return t.sql(I.NAME_OFFERS).groupBy("domain").agg(
+    return t.sql(I.FULL_OFFERS).groupBy("domain").agg(
         F.count(F.lit(1)).alias("offers"), F.round(F.avg("price_eur"), 4).alias("mean_price"))
 
 

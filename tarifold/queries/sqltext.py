@@ -183,16 +183,25 @@ def sorted_tokens(x: str) -> str:
     return rf"array_to_string(list_sort(list_filter(string_split_regex({x}, '\s+'), lambda t: t <> '')), ' ')"
 
 
-# Longest common subsequence of each (a, b) of table ``pairs``: one recursion step per
-# character of a, carrying the row of the dynamic programme as a list.
-LCS = """
-lcs(a, b, i, best) AS (
-  SELECT a, b, 0, list_transform(range(0, length(b) + 1), lambda x: CAST(0 AS BIGINT)) FROM pairs
-  UNION ALL
-  SELECT a, b, i + 1,
-    list_prepend(CAST(0 AS BIGINT), list_transform(range(1, length(b) + 1), lambda k:
-      list_max(list_transform(range(1, k + 1), lambda j:
-        greatest(best[j + 1], CASE WHEN substr(a, i + 1, 1) = substr(b, j, 1) THEN best[j] + 1 ELSE 0 END)))))
-  FROM lcs WHERE i < length(a)
-)
-"""
+# Longest common subsequence of each (a, b) of table ``pairs``, columns a, b, la, lb, mask and code, with one bit for each
+# position of a: ``mask`` has the positions of every character of the alphabet, ``code`` the characters of b by number.
+# Texts of up to 120 characters.
+_FULL = "((1::HUGEINT << la::INT) - 1)"
+SIMILARITY = f"""2e0 * (la - bit_count(list_reduce(list_prepend({_FULL}, list_transform(code, lambda c: coalesce(mask[c], 0::HUGEINT))),
+  lambda v, m: ((v + (v & m)) | (v - (v & m))) & {_FULL}))) / (la + lb)"""
+
+
+def coded(table: str, text: str, other: bool = False) -> str:
+    """Distinct texts of a column with their length, character counts and masks (or numbers, for the other side); needs
+    the table ``chars(cs)``, the alphabet as a list."""
+    counts = f"list_transform(cs, lambda c: length({text}) - length(replace({text}, c, '')))"
+    masks = (f"list_transform(cs, lambda c: list_sum(list_transform(range(1, length({text}) + 1), lambda i: "
+             f"CASE WHEN substr({text}, i, 1) = c THEN 1::HUGEINT << (i - 1)::INT ELSE 0 END))::HUGEINT) AS mask")
+    codes = f"list_transform(string_split({text}, ''), lambda c: list_position(cs, c)) AS code"
+    side = "b" if other else "a"
+    return (f"SELECT {text} AS {side}, length({text}) AS l{side}, {counts} AS n{side}, {codes if other else masks} "
+            f"FROM (SELECT DISTINCT {text} FROM {table} WHERE {text} <> ''), chars")
+
+
+def alphabet(table: str, text: str) -> str:
+    return f"SELECT list(DISTINCT c) AS cs FROM (SELECT unnest(string_split({text}, '')) AS c FROM (SELECT DISTINCT {text} FROM {table}))"

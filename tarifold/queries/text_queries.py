@@ -254,10 +254,10 @@ _PAIRS = """SELECT p_partkey AS ord, p_name || ' ' || p_type AS a, lower(p_brand
 
 
 @query("token_sort_similarity", f"""
-WITH RECURSIVE sorted AS (SELECT ord, {Q.sorted_tokens('lower(a)')} AS a, {Q.sorted_tokens('lower(b)')} AS b FROM ({_PAIRS}) x),
-pairs AS (SELECT DISTINCT a, b FROM sorted), {Q.LCS}
-SELECT ord, round(2e0 * list_last(best) / (length(a) + length(b)), 6) AS score
-FROM lcs JOIN sorted USING (a, b) WHERE i = length(a)""")
+WITH sorted AS MATERIALIZED (SELECT ord, {Q.sorted_tokens('lower(a)')} AS a, {Q.sorted_tokens('lower(b)')} AS b FROM ({_PAIRS}) x),
+chars AS MATERIALIZED ({Q.alphabet('sorted', 'a')}), ours AS MATERIALIZED ({Q.coded('sorted', 'a')}), theirs AS MATERIALIZED ({Q.coded('sorted', 'b', True)}),
+pairs AS (SELECT ord, ours.*, theirs.* FROM sorted JOIN ours USING (a) JOIN theirs USING (b))
+SELECT ord, round({Q.SIMILARITY}, 6) AS score FROM pairs""")
 def _(t):
     return t.sql(_PAIRS).select("ord", F.round(token_sort_similarity(c("a"), c("b")), 6).alias("score"))
 

@@ -45,19 +45,73 @@ def test_tile_against_model():
         theirs = list({text() for _ in range(25)} - {""})
         stores = [np.array(sorted(rng.sample(range(5), rng.randrange(1, 4)))) for _ in theirs]
         offers = [np.array([rng.randrange(1000) for _ in s]) for s in stores]
+        done = [np.array(sorted(rng.sample(range(5), rng.randrange(0, 3))), dtype=int) for _ in ours]
         got = {}
-        for a, store, points, offer in best_in_tile(ours, theirs, stores, offers, 0.75, block=4):
+        for a, store, points, offer in best_in_tile(ours, theirs, stores, offers, 0.75, done, block=4):
             got.update({(ours[i], s): (p, o) for i, s, p, o in zip(a, store, points, offer)})
         want = {}
-        for x in ours:
+        for x, settled in zip(ours, done):
             for y, ss, oo in zip(theirs, stores, offers):
                 points = 2 * lcs(x, y) / (len(x) + len(y))
                 for s, o in zip(ss, oo):
-                    if points >= 0.75 and (points, -o) > want.get((x, s), (0, 0)):
+                    if s not in settled and points >= 0.75 and (points, -o) > want.get((x, s), (0, 0)):
                         want[x, s] = (points, -o)
         assert got == {k: (p, -o) for k, (p, o) in want.items()}
 
 
+def edited(rng, text, most):
+    """A text a few insertions and deletions away."""
+    chars = list(text)
+    for _ in range(rng.randrange(most + 1)):
+        if chars and rng.random() < 0.5:
+            del chars[rng.randrange(len(chars))]
+        else:
+            chars.insert(rng.randrange(len(chars) + 1), rng.choice("abcdé漢𝄞 "))
+    return "".join(chars)
+
+
+def texts_frame(spark, texts, stores=lambda n: [n % 3]):
+    rows = [(t, stores(n), [1000 * n + s for s in stores(n)]) for n, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "text string, stores array<int>, offers array<long>")
+
+
+@pytest.mark.parametrize("near", [0.8, 0.9, 0.94, 1.0])
+def test_index_loses_no_near_pair(spark, near):
+    rng = random.Random(int(near * 100))
+    base = ["".join(rng.choice("abcdé漢𝄞 ") for _ in range(rng.randrange(1, 90))) for _ in range(40)]
+    ours = sorted({edited(rng, t, 5) for t in base} | {"a", "b", "x" * 400, "𝄞" * 30} - {""})
+    theirs = sorted({edited(rng, t, 5) for t in base * 2} | {"a", "ab", "x" * 399, "x" * 30 + "y", "𝄞" * 29} - {""})
+    want = {(a, b) for a in ours for b in theirs if 2 * lcs(a, b) / (len(a) + len(b)) >= near}
+    found = match.near_pairs(texts_frame(spark, ours), texts_frame(spark, theirs), near).collect()
+    got = {(r.text, r.other) for r in found}
+    assert len(got) == len(found) and want and want <= got
+    assert len(got) < len(ours) * len(theirs) / 4
+
+
+def test_two_rungs_give_what_tiles_give(spark):
+    rng = random.Random(9)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(4, 40))) for _ in range(60)]
+    ours, theirs = sorted(set(base)), sorted({edited(rng, t, 8) for t in base * 3} - {""})
+    left, right = texts_frame(spark, ours), texts_frame(spark, theirs, lambda n: sorted({n % 3, n % 5}))
+    whole = match.best_in_tiles(left.select("text", F.array().cast("array<int>").alias("done")), right, 0.75)
+    key = lambda df: sorted(map(tuple, df.select("text", "comp_ord", "score", "offer_ord").collect()))
+    assert key(match.best_by_text(left, right, 0.75, 0.9)) == key(whole) == key(match.best_by_text(left, right, 0.75, 0.99))
+    assert key(match.best_by_text(left, right, 0.9, 0.9)) == [r for r in key(whole) if r[2] >= 0.9]
+
+
+def test_pairs_grow_slower_than_the_product(spark):
+    """Every store carries a near text of most of ours: the larger the catalogs, the fewer texts go on to the tiles."""
+    looked = []
+    for n in (150, 600):
+        rng = random.Random(n)
+        base = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789 ") for _ in range(40)) for _ in range(n)]
+        pairs = spark.sparkContext.accumulator(0)
+        left, right = texts_frame(spark, base), texts_frame(spark, [edited(rng, t, 2) for t in base], lambda n: [0])
+        match.best_by_text(left, right, 0.75, 0.94, pairs).collect()
+        looked.append(pairs.value)
+    assert looked[0] < 150 * 150 / 10 and looked[1] < 8 * looked[0]
+
+
 def offers_frame(spark, rows):
     return spark.createDataFrame(
         rows, "domain string, comp_ord int, offer_ord long, name string, currency string, sku string, title string, "
