@@ -1,125 +1,219 @@
-"""Pulling fixed kinds of elements out of page text with built-in regex functions.
+"""Landed pages as one array of tokens and one of elements, built in a single pass.
 
-This is extraction for the handful of elements shop pages use, not a selector engine. An element
-ends at the closing tag that belongs to it: opening and closing tags of its name are counted.
+A page is cut into tags, comments and whole scripts on the one hand and the texts between them on the other. One walk over
+the tags with a stack gives every element its closing place; a stack that grows and shrinks has no built-in in linear time (an
+aggregate copies its state at every step), so this one step runs on Arrow batches. Selectors are column functions: they read
+the intervals and never the page again. This is what shop pages need, not a selector engine.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import html as references
+import re
+import sys
+from collections import Counter
+
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
+
+# What is not text: comments, whole scripts and styles, tags (quotes count behind "=" only), declarations.
+TOKEN = (
+    r"(?is)<!--.*?-->|<(?:script\b[^>]*+>.*?</script|style\b[^>]*+>.*?</style)\s*+>|"
+    r"""</?[a-z](?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>|<[!?][^>]*+>"""
+)
+# Elements without content, and elements that end where the next of their kind begins (up to a holder).
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+IMPLIED = {
+    "li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
+    "p": ({"p"}, {"div", "td", "th", "li", "section", "article"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"}),
+}
+
+_TOKEN = re.compile(TOKEN)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+
+_TEXTS = pa.list_(pa.string())
+_NODE = pa.struct([
+    ("open", pa.int32()), ("close", pa.int32()), ("last", pa.int32()), ("at", pa.int32()), ("after", pa.int32()), ("tag", pa.string()),
+    ("name", pa.string()), ("classes", pa.string()), ("names", _TEXTS), ("values", _TEXTS),
+])
+_PAGE = pa.struct([("tokens", _TEXTS), ("gaps", _TEXTS), ("texts", _TEXTS), ("nodes", pa.list_(_NODE))])
+# Executors get the walk with the task, whether or not the package is installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _cut(html: str) -> tuple[list[str], list[str]]:
+    """Tokens, and the markup before each of them and behind the last."""
+    tokens, gaps, at = [], [], 0
+    for m in _TOKEN.finditer(html):
+        gaps.append(html[at:m.start()])
+        tokens.append(m[0])
+        at = m.end()
+    return tokens, [*gaps, html[at:]]
+
+
+def _walk(tokens: list[str]) -> list[dict]:
+    """Elements in page order. A closing tag also ends what is open inside its element, and is nothing where none is open."""
+    nodes, stack, held = [], [], Counter()
+
+    def end(i: int, place: int, closes: bool) -> None:
+        for n in range(place, len(stack)):
+            node = nodes[stack[n]]
+            node |= {"close": i, "last": i if closes and n == place else i - 1, "after": len(nodes)}
+            held[node["name"]] -= 1
+        del stack[place:]
+
+    def opened(wanted: set[str], up_to: set[str]) -> int | None:
+        """Where the last wanted element is open, unless one of the others was opened since."""
+        if any(held[w] for w in wanted):
+            for n in range(len(stack) - 1, -1, -1):
+                name = nodes[stack[n]]["name"]
+                if name in wanted:
+                    return n
+                if name in up_to:
+                    return None
+        return None
+
+    for i, token in enumerate(tokens):
+        m = _NAME.match(token)
+        if not m:
+            continue
+        closes, name = m[1] == "/", m[2].lower()
+        place = opened({name}, set()) if closes else opened(*IMPLIED[name]) if name in IMPLIED else None
+        if place is not None:
+            end(i, place, closes)
+        if not closes:
+            nodes.append({"open": i, "close": i, "last": i, "at": len(nodes), "after": len(nodes) + 1, "tag": token, "name": name})
+            if not (name in VOID or name in ("script", "style") or token.endswith("/>")):
+                stack.append(len(nodes) - 1)
+                held[name] += 1
+    end(len(tokens), 0, False)
+    return nodes
+
+
+def _attributes(tag: str) -> dict:
+    """Attributes of an opening tag, quoted or not, references decoded; ``classes`` with a space around each."""
+    end = tag.find(">") if tag[:7].lower() in ("<script", "<style") else len(tag)
+    found = _ATTRIBUTE.findall(tag, _NAME.match(tag).end(), end) if "=" in tag[:end] else []
+    names = [name.lower() for name, _ in found]
+    values = [references.unescape(v[1:-1] if v[:1] in ("'", '"') else v) for _, v in found]
+    classes = values[names.index("class")].split() if "class" in names else []
+    return {"names": names, "values": values, "classes": f" {' '.join(classes)} "}
+
+
+@F.arrow_udf(from_arrow_type(_PAGE))
+def _page(html: pa.Array) -> pa.Array:
+    pages = []
+    for text in html:
+        tokens, gaps = _cut(text.as_py() or "")
+        texts = [references.unescape(g).strip() for g in gaps]
+        pages.append({"tokens": tokens, "gaps": gaps, "texts": texts, "nodes": [n | _attributes(n["tag"]) for n in _walk(tokens)]})
+    return pa.array(pages, _PAGE)
+
+
+def with_page(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Add ``_page``: ``struct<tokens, gaps, texts, nodes>``.
+
+    ``gaps[i]`` is the markup before ``tokens[i]``, ``texts`` are the gaps decoded and stripped, ``nodes`` the elements in page
+    order: the token that opens them (``open``, text ``tag``), the one before which their content ends (``close``), the last one
+    of their markup, their own number (``at``) and that behind their last descendant (``after``), name and attributes.
+    """
+    return pages.withColumn("_page", _page(F.col(html)))
 
-from .text import unescape
 
+# --- selectors ----------------------------------------------------------------------------------
 
-def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute of an opening tag, ``""`` if absent."""
-    pattern = rf"(?is)[\s\"']{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
-    return unescape(F.concat(F.regexp_extract(tag, pattern, 1), F.regexp_extract(tag, pattern, 2)))
+def value_of(node: Column, name: str) -> Column:
+    """The attribute's first value, ``""`` if absent."""
+    at = F.array_position(node["names"], name).cast("int")
+    return F.coalesce(F.get(node["values"], F.nullif(at, F.lit(0)) - 1), F.lit(""))
 
 
-def scripts_of_type(html: Column, mime: str) -> Column:
-    pattern = rf"(?is)<script\b[^>]*\btype\s*=\s*[\"']{mime}[\"'][^>]*>(.*?)</script>"
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+def by_name(*names: str):
+    return lambda n: n["name"].isin(*names)
 
 
-def with_class(name: str) -> str:
-    """Opening-tag condition: ``name`` is one of the classes."""
-    return rf"\bclass\s*=\s*[\"'](?:[^\"']*\s)?{name}(?:\s[^\"']*)?[\"']"
+def with_class(name: str):
+    """Condition: ``name`` is one of the classes."""
+    return lambda n: n["classes"].contains(f" {name} ")
 
 
-def with_attribute(name: str, value: str) -> str:
-    return rf"\b{name}\s*=\s*[\"']{value}[\"']"
+def class_matches(pattern: str):
+    return lambda n: n["classes"].rlike(pattern)
 
 
-def class_contains(part: str) -> str:
-    return rf"\bclass\s*=\s*[\"'][^\"']*{part}[^\"']*[\"']"
+def with_attribute(name: str, value: str):
+    return lambda n: value_of(n, name) == value
 
 
-def element(condition: str = "", tag: str = r"\w+") -> str:
-    """Pattern of an element's opening tag: group 1 is its name."""
-    gap = r"[^>]*" + condition if condition else ""
-    return rf"(?is)<({tag})\b{gap}[^>]*>"
+def elements(page: Column, condition) -> Column:
+    return F.filter(page["nodes"], condition)
 
 
 def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value worked out once."""
+    """``use(value)`` with the value worked out once: in a lambda it would be worked out for every element."""
     return F.transform(F.array(value), use)[0]
 
 
-def _tags(html: Column, pattern: Column) -> Column:
-    """Tags of a pattern as ``array<struct<gap, tag>>``; ``gap`` is the length of the text before each."""
-    tags = F.regexp_extract_all(html, pattern, F.lit(0))
-    gaps = F.transform(F.split(html, pattern, -1), F.length)
-    return _let(tags, lambda ts: F.zip_with(F.slice(gaps, F.lit(1), F.size(ts)), ts, lambda g, t: F.struct(g.alias("gap"), t.alias("tag"))))
-
-
-def _ends(rest: Column, name: Column) -> Column:
-    """Lengths of ``rest``, what follows an opening tag, up to its closing tag (``inner``) and with it (``outer``).
+def _part(values: Column, first: Column, last: Column) -> Column:
+    """Values from one place to another, read one by one (``slice`` would copy the whole array first)."""
+    places = F.when(first <= last, F.sequence(first, F.greatest(first, last)))
+    return F.transform(F.coalesce(places, F.array().cast("array<int>")), lambda i: F.get(values, i))
 
-    Where the counts never meet, as something inside is not closed, the last closing tag counts; -1 if there is none.
-    """
-    tags = _tags(rest, F.concat(F.lit("(?is)</?"), name, F.lit(r"(?=[\s/>])[^>]*>")))
-    names = ("depth", "at", "inner", "outer")
-    zero = F.struct(*[F.lit(v).alias(n) for n, v in zip(names, (1, 0, -1, -1), strict=True)])
-
-    def step(s: Column, t: Column) -> Column:
-        closes = t["tag"].startswith("</")
-        before = s["at"] + t["gap"]
-        after = before + F.length(t["tag"])
-        depth = s["depth"] + F.when(closes, -1).when(t["tag"].endswith("/>"), 0).otherwise(1)
-        values = (depth, after, F.when(closes, before).otherwise(s["inner"]), F.when(closes, after).otherwise(s["outer"]))
-        return F.when(s["depth"] == 0, s).otherwise(F.struct(*[v.alias(n) for n, v in zip(names, values, strict=True)]))
 
-    return F.aggregate(tags, zero, step)
+def inside(page: Column, node: Column) -> Column:
+    """An element's descendants: they follow it in page order."""
+    return _let(node, lambda n: _part(page["nodes"], n["at"] + 1, n["after"] - 1))
 
 
-def elements(html: Column, pattern: str) -> Column:
-    """Elements, also those inside one another, as ``array<struct<start, end, whole, inside>>`` in page order."""
-    return _let(html, lambda page: _elements(page, pattern))
+def outermost(found: Column) -> Column:
+    """Those of an array of elements, in page order, that are in no other."""
+    zero = F.struct(F.lit(0).alias("after"), F.filter(found, lambda n: F.lit(False)).alias("kept"))
 
+    def step(s: Column, n: Column) -> Column:
+        return F.when(n["at"] < s["after"], s).otherwise(F.struct(n["after"].alias("after"), F.concat(s["kept"], F.array(n)).alias("kept")))
 
-def _elements(html: Column, pattern: str) -> Column:
-    zero = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<rest:int,tag:string>>").alias("found"))
+    return F.aggregate(found, zero, step, lambda s: s["kept"])
 
-    def place(s: Column, t: Column) -> Column:
-        rest = s["at"] + t["gap"] + F.length(t["tag"])
-        return F.struct(rest.alias("at"), F.concat(s["found"], F.array(F.struct(rest.alias("rest"), t["tag"].alias("tag")))).alias("found"))
 
-    def cut(o: Column) -> Column:
-        def parts(rest: Column) -> Column:
-            return _let(_ends(rest, F.regexp_extract(o["tag"], pattern, 1)), lambda e: F.when(e["outer"] >= 0, F.struct(
-                (o["rest"] - F.length(o["tag"])).alias("start"), (o["rest"] + e["outer"]).alias("end"),
-                F.concat(o["tag"], F.substring(rest, F.lit(1), e["outer"])).alias("whole"),
-                F.substring(rest, F.lit(1), e["inner"]).alias("inside"))))
+def descendants(page: Column, found: Column, condition) -> Column:
+    """Matching elements inside any of ``found``, each once, in page order."""
+    return F.flatten(F.transform(outermost(found), lambda n: F.filter(inside(page, n), condition)))
 
-        return _let(F.substring(html, o["rest"], F.length(html)), parts)
 
-    opened = F.aggregate(_tags(html, F.lit(pattern)), zero, place, lambda s: s["found"])
-    return F.array_compact(F.transform(opened, cut))
+def first(found: Column) -> Column:
+    return F.try_element_at(found, F.lit(1))
 
 
-def outermost(found: Column) -> Column:
-    """Those of :func:`elements` that are in no other."""
-    return _let(found, lambda es: F.filter(es, lambda e: ~F.exists(es, lambda o: (o["start"] < e["start"]) & (e["end"] <= o["end"]))))
+def text_of(page: Column, node: Column, between: str = "") -> Column:
+    """An element's texts, each stripped; NULL without an element."""
 
+    def joined(n: Column) -> Column:
+        texts = _part(page["texts"], n["open"] + 1, n["close"])
+        return F.when(n.isNotNull(), F.array_join(F.filter(texts, lambda t: t != "") if between else texts, between))
 
-def first_element(html: Column, pattern: str, part: str = "inside") -> Column:
-    """Inside (or ``whole``) of the first such element; NULL where there is none."""
-    return F.try_element_at(elements(html, pattern), F.lit(1))[part]
+    return _let(node, joined)
 
 
-def first_inside(html: Column, pattern: str) -> Column:
-    return first_element(html, pattern)
+def markup_of(page: Column, node: Column) -> Column:
+    """An element with its tags as it stands in the page; NULL without an element."""
 
+    def joined(n: Column) -> Column:
+        tokens, gaps = _part(page["tokens"], n["open"] + 1, n["last"]), _part(page["gaps"], n["open"] + 1, n["last"])
+        rest = F.array_join(F.zip_with(gaps, tokens, lambda g, t: F.concat(g, t)), "")
+        open_end = F.when(n["last"] < n["close"], F.get(page["gaps"], n["close"])).otherwise("")
+        return F.concat(n["tag"], rest, open_end)
 
-def all_inside(html: Column, pattern: str) -> Column:
-    return F.transform(elements(html, pattern), lambda e: e["inside"])
+    return _let(node, joined)
 
 
-def without(html: Column, pattern: str) -> Column:
-    """The page without such elements."""
-    return F.aggregate(elements(html, pattern), html, lambda h, e: F.replace(h, e["whole"], F.lit("")))
+def scripts_of_type(page: Column, mime: str) -> Column:
+    """Bodies of the scripts of a type, in page order."""
+    found = elements(page, lambda n: (n["name"] == "script") & (F.lower(value_of(n, "type")) == mime))
+    return F.transform(found, lambda n: F.regexp_replace(n["tag"], r"(?is)^<script[^>]*>|</script\s*>$", ""))
 
 
 def absolute_url(origin: Column, ref: Column) -> Column:

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from ..functions import markup as M
 from ..functions.text import (
-    first_filled, node_text, parse_price, plain_number, strip, strip_tags, text_or_blank, title_case,
+    first_filled, parse_price, strip, strip_tags, text_or_blank, title_case,
 )
 from ..plans.once import computed_once
 from ..rules import dictionaries as D
 from ..rules import settings as S
-from .fitment import normalize_brand, with_fitment
+from .fitment import from_attribute_table, from_captioned_tables, normalize_brand, with_fitment
 
 TEXTS = "array<string>"
 LD_NODE = (
@@ -34,14 +34,14 @@ def none_texts() -> Column:
 
 def strip_cache(url: Column) -> Column:
     """Resized copy of an image to the address of the original."""
-    return F.regexp_replace(url, r"/cache/[a-f0-9]{32}/", "/")
+    return F.regexp_replace(url, S.IMAGE_CACHE, "/")
 
 
 def is_image_url(url: Column, skip=S.IMAGE_SKIP_FRAGMENTS) -> Column:
     unwanted = F.lit(False)
     for fragment in skip:
         unwanted = unwanted | url.contains(fragment)
-    return url.startswith("http") & ~unwanted & url.rlike(r"(?i)\.(?:jpe?g|png|webp|gif)")
+    return url.startswith("http") & ~unwanted & url.rlike(S.IMAGE_EXTENSION)
 
 
 def usable_images(urls: Column, strip_copies: bool = True) -> Column:
@@ -91,19 +91,21 @@ def _all_nodes(script: Column) -> Column:
     return F.aggregate(levels, zero, step, lambda s: s["nodes"])
 
 
-def with_json_ld(pages: DataFrame, html: str = "html") -> DataFrame:
+def ld_scripts(page: Column) -> Column:
+    """Bodies of the page's JSON-LD scripts that can be parsed."""
+    return F.filter(M.scripts_of_type(page, "application/ld+json"), lambda s: F.try_parse_json(s).isNotNull())
+
+
+def with_json_ld(pages: DataFrame, scripts: Column | None = None) -> DataFrame:
     """Add ``json_ld``, the text of the first product node, and ``_ld``, its fields.
 
-    Scripts count in page order, unparsable ones are skipped, members of ``@graph`` come after
+    Scripts (by default those of ``_page``) count in page order, unparsable ones are skipped, members of ``@graph`` come after
     all nodes of the level above in their script.
     """
-    scripts = F.filter(
-        M.scripts_of_type(F.col(html), r"application/ld\+json"), lambda s: F.try_parse_json(s).isNotNull()
-    )
-    top = computed_once(pages, _scripts=scripts)
-    nodes = computed_once(top, _nodes=F.flatten(F.transform("_scripts", _all_nodes)))
+    scripts = ld_scripts(F.col("_page")) if scripts is None else scripts
+    nodes = computed_once(pages, _nodes=F.flatten(F.transform(scripts, _all_nodes)))
     found = computed_once(nodes, json_ld=F.try_element_at(F.filter("_nodes", _type_is_product), F.lit(1)))
-    return computed_once(found.drop("_scripts", "_nodes"), _ld=F.from_json("json_ld", LD_NODE))
+    return computed_once(found.drop("_nodes"), _ld=F.from_json("json_ld", LD_NODE))
 
 
 def named_or_text(value: Column) -> Column:
@@ -123,26 +125,32 @@ def ld_images(image: Column) -> Column:
 
 
 def ld_price(offer: Column) -> Column:
-    """Price candidate of an offer: ``price``, else ``lowPrice``. A JSON float is taken as it
-    is; text and whole numbers are read as localised text."""
-    key = F.when(offer.rlike(r'"price"\s*:'), F.lit("price")).otherwise(F.lit("lowPrice"))
-    text = F.when(key == "price", F.get_json_object(offer, "$.price")).otherwise(
-        F.get_json_object(offer, "$.lowPrice")
-    )
-    quoted = F.when(key == "price", offer.rlike(r'"price"\s*:\s*"')).otherwise(offer.rlike(r'"lowPrice"\s*:\s*"'))
-    as_float = F.when(~quoted & text.rlike(r"[.eE]"), plain_number(text))
-    return F.when(as_float > 0, as_float).otherwise(parse_price(text_or_blank(text)))
+    """Price candidate of an offer: its own ``price``, else its own ``lowPrice``, whatever nested offers say.
+
+    A JSON number with a fraction or an exponent is taken as it is; text and whole numbers are read as localised text. JSON's
+    own rules tell them apart: the value is read by its type, not by its spelling.
+    """
+
+    def read(v: Column) -> Column:
+        key = F.when(F.variant_get(v, "$.price", "variant").isNotNull(), "price").otherwise("lowPrice")
+        value = F.when(key == "price", F.variant_get(v, "$.price", "variant")).otherwise(F.variant_get(v, "$.lowPrice", "variant"))
+        kind = F.schema_of_variant(value)
+        text = F.when(kind.rlike("^(?:STRING|BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(value, "$", "string"))
+        number = F.when(kind.rlike("^(?:DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(value, "$", "double"))
+        return F.when(number > 0, number).otherwise(parse_price(text_or_blank(text)))
+
+    return F.when(F.ltrim(offer).startswith("{"), F.transform(F.array(F.try_parse_json(offer)), read)[0]).otherwise(F.lit(0.0))
 
 
 # --- gallery --------------------------------------------------------------------------------
 
-def gallery_images(html: Column) -> Column:
+def gallery_images(page: Column) -> Column:
     """Addresses under ``full``, ``img``, ``src`` and ``url`` in the gallery scripts, in
     document order."""
     scripts = F.filter(
-        M.scripts_of_type(html, "text/x-magento-init"), lambda s: F.try_parse_json(s).isNotNull()
+        M.scripts_of_type(page, "text/x-magento-init"), lambda s: F.try_parse_json(s).isNotNull()
     )
-    pair = F.lit(r'(?s)"(full|img|src|url)"\s*:\s*"(.*?(?<!\\)(?:\\\\)*)"')
+    pair = F.lit(rf'(?s)"({"|".join(S.GALLERY_KEYS)})"\s*:\s*"(.*?(?<!\\)(?:\\\\)*)"')
     raw = F.flatten(F.transform(scripts, lambda s: F.regexp_extract_all(s, pair, F.lit(2))))
     decoded = F.transform(
         raw, lambda v: F.from_json(F.concat(F.lit('["'), v, F.lit('"]')), TEXTS)[0]
@@ -152,11 +160,10 @@ def gallery_images(html: Column) -> Column:
 
 # --- OpenGraph ------------------------------------------------------------------------------
 
-def open_graph(html: Column) -> Column:
+def open_graph(page: Column) -> Column:
     """``og:*`` properties as ``array<struct<property, content>>`` in page order."""
-    tags = F.regexp_extract_all(html, F.lit(r"(?is)<meta\b[^>]*>"), F.lit(0))
-    pairs = F.transform(tags, lambda t: F.struct(
-        M.attribute(t, "property").alias("property"), M.attribute(t, "content").alias("content")
+    pairs = F.transform(M.elements(page, M.by_name("meta")), lambda n: F.struct(
+        M.value_of(n, "property").alias("property"), M.value_of(n, "content").alias("content")
     ))
     return F.filter(pairs, lambda p: p["property"].startswith("og:") & (p["content"] != ""))
 
@@ -169,55 +176,49 @@ def og_value(pairs: Column, name: str) -> Column:
 
 # --- page body ------------------------------------------------------------------------------
 
-def first_element_text(html: Column, *patterns: str) -> Column:
-    """Text of the first element of the first pattern that is present at all."""
-    found = F.coalesce(*[M.first_inside(html, p) for p in patterns])
-    return text_or_blank(node_text(found))
+def first_element_text(page: Column, *conditions) -> Column:
+    """Text of the first element of the first kind that is present at all."""
+    found = F.coalesce(*[M.first(M.elements(page, c)) for c in conditions])
+    return text_or_blank(M.text_of(page, found))
 
 
-def dom_title(html: Column) -> Column:
-    return first_element_text(html, M.element(tag="h1"), M.element(M.with_attribute("itemprop", "name")))
+def dom_title(page: Column) -> Column:
+    return first_element_text(page, M.by_name("h1"), M.with_attribute("itemprop", "name"))
 
 
-def dom_sku(html: Column) -> Column:
-    return first_element_text(html, M.element(M.with_attribute("itemprop", "sku")), M.element(M.with_class("sku")))
+def dom_sku(page: Column) -> Column:
+    return first_element_text(page, M.with_attribute("itemprop", "sku"), M.with_class("sku"))
 
 
-def dom_brand(html: Column) -> Column:
-    brand = M.element(M.with_attribute("itemprop", "brand"))
-    name = M.first_inside(M.first_inside(html, brand), M.element(M.with_attribute("itemprop", "name")))
-    return text_or_blank(node_text(F.coalesce(name, M.first_inside(html, brand))))
+def dom_brand(page: Column) -> Column:
+    brands = M.elements(page, M.with_attribute("itemprop", "brand"))
+    names = M.descendants(page, brands, M.with_attribute("itemprop", "name"))
+    return text_or_blank(M.text_of(page, F.coalesce(M.first(names), M.first(brands))))
 
 
-def dom_description(html: Column) -> Column:
+def dom_description(page: Column) -> Column:
     """The description element with its markup."""
-    whole = M.element(M.class_contains("description"))
-    value = M.first_element(M.first_inside(html, whole), M.element(M.with_class("value")), "whole")
-    return F.coalesce(value, M.first_element(html, whole, "whole"), F.lit(""))
+    whole = M.elements(page, M.class_matches("description"))
+    value = M.first(M.descendants(page, whole, M.with_class("value")))
+    return text_or_blank(M.markup_of(page, F.coalesce(value, M.first(whole))))
 
 
-def dom_prices(html: Column) -> Column:
+def dom_prices(page: Column) -> Column:
     """Positive prices of all price elements that are not inside an old-price wrapper."""
-    old = rf"(?:{M.with_class('old-price')}|{M.with_attribute('data-price-type', 'oldPrice')})"
-    found = M.elements(M.without(html, M.element(old)), M.element(M.with_class("price")))
-    boxes = F.transform(found, lambda e: e["inside"])
-    outer = F.transform(M.outermost(found), lambda e: e["inside"])
-    inserted = M.all_inside(F.array_join(outer, " "), M.element(tag="ins"))
-    amounts = M.all_inside(F.array_join(inserted, " "), M.element(M.with_class("amount")))
-    values = F.transform(F.concat(boxes, inserted, amounts), lambda b: parse_price(node_text(b)))
-    return F.filter(values, lambda v: v > 0)
-
-
-# Attributes that hold an image address, best first.
-IMAGE_ATTRIBUTES = ["data-large_image", "data-src", "data-lazy-src", "data-original", "src"]
-PRODUCT_MEDIA = "/media/catalog/product/"
-
-
-def dom_images(html: Column, url: Column) -> Column:
-    tags = F.regexp_extract_all(html, F.lit(r"(?is)<img\b[^>]*>"), F.lit(0))
-    by_src = F.filter(tags, lambda t: M.attribute(t, "src").contains(PRODUCT_MEDIA))
-    by_data = F.filter(tags, lambda t: M.attribute(t, "data-src").contains(PRODUCT_MEDIA))
-    source = lambda t: F.coalesce(*[F.nullif(M.attribute(t, a), F.lit("")) for a in IMAGE_ATTRIBUTES])
+    is_old = lambda n: M.with_class("old-price")(n) | M.with_attribute("data-price-type", "oldPrice")(n)
+    old = M.outermost(M.elements(page, is_old))
+    boxes = M.elements(page, M.with_class("price"))
+    inserted = M.descendants(page, boxes, M.by_name("ins"))
+    amounts = M.descendants(page, inserted, M.with_class("amount"))
+    found = F.filter(F.concat(boxes, inserted, amounts), lambda n: ~F.exists(old, lambda o: (o["at"] < n["at"]) & (n["at"] < o["after"])))
+    return F.filter(F.transform(found, lambda n: parse_price(M.text_of(page, n))), lambda v: v > 0)
+
+
+def dom_images(page: Column, url: Column) -> Column:
+    tags = M.elements(page, M.by_name("img"))
+    by_src = F.filter(tags, lambda t: M.value_of(t, "src").contains(S.PRODUCT_MEDIA))
+    by_data = F.filter(tags, lambda t: M.value_of(t, "data-src").contains(S.PRODUCT_MEDIA))
+    source = lambda t: F.coalesce(*[F.nullif(M.value_of(t, a), F.lit("")) for a in S.IMAGE_ATTRIBUTES])
     found = F.array_compact(F.transform(F.concat(by_src, by_data), source))
     return usable_images(F.transform(found, lambda r: M.absolute_url(M.origin_of(url), r)))
 
@@ -227,16 +228,13 @@ def title_from_slug(url: Column) -> Column:
     return title_case(F.replace(F.substring_index(path, "/", -1), F.lit("-"), F.lit(" ")))
 
 
-def breadcrumbs(html: Column, denylist=D.BREADCRUMB_DENYLIST) -> Column:
-    """Links of the first navigation that has any, without blanks and site pages."""
-
-    def links(container: str) -> Column:
-        found = M.outermost(M.elements(html, M.element(container) if container else M.element(tag="nav")))
-        return M.all_inside(F.array_join(F.transform(found, lambda e: e["inside"]), " "), M.element(tag="a"))
-
-    options = [links(""), links(M.with_class("breadcrumb")), links(M.with_class("breadcrumbs"))]
-    chosen = F.coalesce(*[F.when(F.size(o) > 0, o) for o in options], none_texts())
-    return F.filter(F.transform(chosen, node_text), lambda t: (t != "") & ~F.lower(t).isin(*denylist))
+def breadcrumbs(page: Column, denylist=D.BREADCRUMB_DENYLIST) -> Column:
+    """Links of the first kind of navigation that has any, without blanks and site pages."""
+    links = lambda condition: M.descendants(page, M.elements(page, condition), M.by_name("a"))
+    options = [links(c) for c in (M.by_name("nav"), M.with_class("breadcrumb"), M.with_class("breadcrumbs"))]
+    chosen = F.coalesce(*[F.transform(F.array(o), lambda x: F.when(F.size(x) > 0, x))[0] for o in options])
+    texts = F.coalesce(F.transform(chosen, lambda n: M.text_of(page, n)), none_texts())
+    return F.filter(texts, lambda t: (t != "") & ~F.lower(t).isin(*denylist))
 
 
 def last_crumb(crumbs: Column) -> Column:
@@ -254,42 +252,47 @@ def is_product(title: Column, price: Column) -> Column:
 
 # --- the whole scan -------------------------------------------------------------------------
 
+def page_fields(page: Column, url: Column) -> Column:
+    """All that a product row takes from its page, so that the page itself goes no further."""
+    return F.struct(
+        ld_scripts(page).alias("scripts"), gallery_images(page).alias("gallery"), open_graph(page).alias("og"), dom_title(page).alias("title"),
+        dom_sku(page).alias("sku"), dom_brand(page).alias("brand"), dom_description(page).alias("description"), dom_prices(page).alias("prices"),
+        dom_images(page, url).alias("images"), breadcrumbs(page).alias("breadcrumbs"), from_captioned_tables(page).alias("table_fit"),
+        from_attribute_table(page).alias("attribute_fit"),
+    )
+
+
 def extract_products(pages: DataFrame) -> DataFrame:
     """One row per page that has a title and a price. ``pages`` has ``ord, url, html``.
 
-    Intermediate columns keep shared parts (nodes, tags, the title's make) from being worked
+    Intermediate columns keep shared parts (fields, nodes, the title's make) from being worked
     out once per field that uses them.
     """
-    html, url = F.col("html"), F.col("url")
-    staged = computed_once(
-        with_json_ld(pages), _og=open_graph(html),
-        _offer=F.try_element_at(json_items(F.col("_ld.offers")), F.lit(1)),
-    )
+    url, og = F.col("url"), F.col("_p.og")
+    fields = computed_once(M.with_page(pages).select("ord", "url", "_page"), _p=page_fields(F.col("_page"), url)).drop("_page")
+    staged = with_json_ld(fields, F.col("_p.scripts"))
+    staged = computed_once(staged, _offer=F.try_element_at(json_items(F.col("_ld.offers")), F.lit(1)))
     staged = computed_once(
         staged,
-        title=first_filled(
-            F.col("_ld.name"), og_value(F.col("_og"), "og:title"), dom_title(html), title_from_slug(url)),
+        title=first_filled(F.col("_ld.name"), og_value(og, "og:title"), F.col("_p.title"), title_from_slug(url)),
         price_raw=lowest_price(F.concat(
-            F.array(ld_price(F.col("_offer")), parse_price(og_value(F.col("_og"), "og:price:amount"))),
-            dom_prices(html))),
+            F.array(ld_price(F.col("_offer")), parse_price(og_value(og, "og:price:amount"))), F.col("_p.prices"))),
     )
-    found = with_fitment(staged.filter(is_product(F.col("title"), F.col("price_raw"))))
-    found = computed_once(found, breadcrumbs=breadcrumbs(html))
-    og_image = og_value(F.col("_og"), "og:image")
+    found = with_fitment(staged.filter(is_product(F.col("title"), F.col("price_raw"))), F.col("_p.table_fit"), F.col("_p.attribute_fit"))
     return found.select(
         "ord", "url", "title",
-        first_filled(F.coalesce(F.nullif("_ld.sku", F.lit("")), "_ld.mpn"), dom_sku(html)).alias("sku"),
-        normalize_brand(first_filled(named_or_text(F.col("_ld.brand")), dom_brand(html))).alias("brand"),
+        first_filled(F.coalesce(F.nullif("_ld.sku", F.lit("")), "_ld.mpn"), F.col("_p.sku")).alias("sku"),
+        normalize_brand(first_filled(named_or_text(F.col("_ld.brand")), F.col("_p.brand"))).alias("brand"),
         "price_raw",
         first_filled(
-            strip_tags(F.col("_ld.description")), strip_tags(og_value(F.col("_og"), "og:description")),
-            dom_description(html)).alias("description_nl"),
+            strip_tags(F.col("_ld.description")), strip_tags(og_value(og, "og:description")),
+            F.col("_p.description")).alias("description_nl"),
         add_if_absent(
-            ld_images(F.col("_ld.image")), gallery_images(html),
-            usable_images(F.array(og_image), strip_copies=False), dom_images(html, url)).alias("images"),
-        "breadcrumbs",
+            ld_images(F.col("_ld.image")), F.col("_p.gallery"),
+            usable_images(F.array(og_value(og, "og:image")), strip_copies=False), F.col("_p.images")).alias("images"),
+        F.col("_p.breadcrumbs").alias("breadcrumbs"),
         "fitment",
-        last_crumb(F.col("breadcrumbs")).alias("product_type"),
+        last_crumb(F.col("_p.breadcrumbs")).alias("product_type"),
         first_filled(F.coalesce(F.nullif("_ld.gtin", F.lit("")), "_ld.gtin13")).alias("gtin"),
         first_filled(after_last_slash(F.get_json_object("_offer", "$.availability"))).alias("availability"),
         F.lit(S.WEIGHT_GRAMS).alias("weight_grams"),
@@ -303,14 +306,12 @@ def product_links(pages: DataFrame) -> DataFrame:
     A product link stays on the page's host and has a one-part path that is not a site page.
     Links of a page are made distinct within its row, so nothing is shuffled.
     """
-    tags = F.filter(
-        F.regexp_extract_all("html", F.lit(r"(?is)<a\b[^>]*>"), F.lit(0)), lambda t: t.rlike(r"(?i)\shref\s*=")
-    )
     origin = F.col("origin")
     on_site = lambda u: (M.host_of(u) == M.host_of(origin)) & is_product_path(M.path_of(u))
+    linked = M.elements(F.col("_page"), lambda n: (n["name"] == "a") & F.array_contains(n["names"], "href"))
     return (
-        pages.select("ord", M.origin_of(F.col("url")).alias("origin"), tags.alias("tags"))
-        .withColumn("links", F.transform("tags", lambda t: M.absolute_url(origin, M.attribute(t, "href"))))
+        M.with_page(pages).select("ord", M.origin_of(F.col("url")).alias("origin"), linked.alias("tags"))
+        .withColumn("links", F.transform("tags", lambda n: M.absolute_url(origin, M.value_of(n, "href"))))
         .select("ord", F.explode(F.array_distinct(F.filter("links", on_site))).alias("link"))
     )
 

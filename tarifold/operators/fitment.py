@@ -10,9 +10,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import (
-    lookup, node_text, node_text_spaced, search_any, strip, text_or_blank, title_case, unescape,
-)
+from ..functions import markup as M
+from ..functions.text import lookup, search_any, strip, text_or_blank, title_case
 from ..functions.years import clean_year
 from ..plans.once import computed_once
 from ..rules import dictionaries as D
@@ -43,37 +42,34 @@ def _first_per_label(rows: Column) -> Column:
     return F.struct(*[first(LABELS[p]).alias(p) for p in PARTS])
 
 
-def _table_rows(table: Column) -> Column:
-    return F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
+def _rows(page: Column, table: Column) -> Column:
+    return F.filter(M.inside(page, table), M.by_name("tr"))
 
 
-def from_captioned_tables(html: Column, caption_pattern: str = D.FITMENT_CAPTION) -> Column:
+def from_captioned_tables(page: Column, caption_pattern: str = D.FITMENT_CAPTION) -> Column:
     """Tables whose caption speaks of fitment: first two cells of a row are label and value."""
-    tables = F.regexp_extract_all(html, F.lit(r"(?is)<table\b[^>]*>(.*?)</table>"), F.lit(1))
-    caption = lambda t: F.regexp_extract(t, r"(?is)<caption\b[^>]*>(.*?)</caption>", 1)
-    wanted = F.filter(tables, lambda t: search_any(unescape(F.regexp_replace(caption(t), r"<[^>]+>", "")), caption_pattern))
-    rows = F.flatten(F.transform(wanted, _table_rows))
-    cells = lambda r: F.regexp_extract_all(r, F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"), F.lit(1))
+    caption = lambda t: M.first(F.filter(M.inside(page, t), M.by_name("caption")))
+    spoken = lambda t: search_any(F.coalesce(M.text_of(page, caption(t), " "), F.lit("")), caption_pattern)
+    wanted = F.filter(M.elements(page, M.by_name("table")), spoken)
+    rows = F.flatten(F.transform(wanted, lambda t: _rows(page, t)))
+    cells = lambda r: F.filter(M.inside(page, r), M.by_name("th", "td"))
     pairs = F.transform(
         F.filter(F.transform(rows, cells), lambda c: F.size(c) >= 2),
-        lambda c: F.struct(F.lower(node_text(c[0])).alias("label"), node_text(c[1]).alias("value")),
+        lambda c: F.struct(F.lower(M.text_of(page, c[0])).alias("label"), M.text_of(page, c[1]).alias("value")),
     )
     return _first_per_label(pairs)
 
 
-def from_attribute_table(html: Column, class_pattern: str = D.ATTRIBUTE_TABLE_CLASS) -> Column:
+def from_attribute_table(page: Column, class_pattern: str = D.ATTRIBUTE_TABLE_CLASS) -> Column:
     """The first attribute table: header cell and data cell of each row."""
-    table = F.regexp_extract(
-        html, rf"(?is)<table\b[^>]*class\s*=\s*[\"'][^\"']*(?:{class_pattern})[^\"']*[\"'][^>]*>(.*?)</table>", 1
-    )
-    head = lambda r: F.regexp_extract(r, r"(?is)<th\b[^>]*>(.*?)</th>", 1)
-    data = lambda r: F.regexp_extract(r, r"(?is)<td\b[^>]*>(.*?)</td>", 1)
-    whole = F.filter(_table_rows(table), lambda r: r.rlike(r"(?i)<th\b") & r.rlike(r"(?i)<td\b"))
+    table = M.first(M.elements(page, lambda n: (n["name"] == "table") & M.class_matches(class_pattern)(n)))
+    cell = lambda r, tag: M.first(F.filter(M.inside(page, r), M.by_name(tag)))
+    cells = F.transform(_rows(page, table), lambda r: F.struct(cell(r, "th").alias("head"), cell(r, "td").alias("data")))
     pairs = F.transform(
-        whole,
-        lambda r: F.struct(F.lower(node_text(head(r))).alias("label"), node_text_spaced(data(r)).alias("value")),
+        F.filter(cells, lambda x: x["head"].isNotNull() & x["data"].isNotNull()),
+        lambda x: F.struct(F.lower(M.text_of(page, x["head"])).alias("label"), M.text_of(page, x["data"], " ").alias("value")),
     )
-    return _first_per_label(pairs)
+    return _first_per_label(F.coalesce(pairs, F.array().cast("array<struct<label:string,value:string>>")))
 
 
 def title_year(title: Column) -> Column:
@@ -116,13 +112,13 @@ def normalised(fit: Column) -> Column:
     )
 
 
-def with_fitment(pages: DataFrame, html: str = "html", title: str = "title") -> DataFrame:
-    """Add ``fitment``. The make found in the title is a column of its own on the way, as the
-    model search starts from it."""
-    name = F.col(title)
+def with_fitment(pages: DataFrame, table: Column | None = None, attributes: Column | None = None, title: str = "title") -> DataFrame:
+    """Add ``fitment`` out of the two tables' layers (by default those of ``_page``) and the title. The make found in the
+    title is a column of its own on the way, as the model search starts from it."""
+    name, page = F.col(title), F.col("_page")
     layers = computed_once(
-        pages, _make=title_make(name), _table_fit=from_captioned_tables(F.col(html)),
-        _attr_fit=from_attribute_table(F.col(html)),
+        pages, _make=title_make(name), _table_fit=from_captioned_tables(page) if table is None else table,
+        _attr_fit=from_attribute_table(page) if attributes is None else attributes,
     )
     layers = computed_once(layers, _title_fit=F.struct(
         F.col("_make").alias("make"), title_model(name, F.col("_make")).alias("model"),

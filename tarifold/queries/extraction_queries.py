@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import markup
 from ..operators import extract, fitment
 from ..rules import dictionaries as D
 from . import inputs as I
@@ -43,7 +44,12 @@ FROM part
 
 
 def pages(t):
-    return t.sql(HTML)
+    return markup.with_page(t.sql(HTML))
+
+
+def landed(t):
+    """The given pages."""
+    return markup.with_page(t("pages"))
 
 
 def join(x):
@@ -91,9 +97,9 @@ def title_model_sql(x: str, make: str) -> str:
 
 @query("first_filled_field", f"SELECT ord, {_TITLE} AS title FROM ({HTML}) h")
 def _(t):
-    staged = extract.with_json_ld(pages(t)).withColumn("_og", extract.open_graph(c("html")))
+    staged = extract.with_json_ld(pages(t)).withColumn("_og", extract.open_graph(c("_page")))
     return staged.select("ord", extract.first_filled(
-        c("_ld.name"), extract.og_value(c("_og"), "og:title"), extract.dom_title(c("html")), extract.title_from_slug(c("url"))).alias("title"))
+        c("_ld.name"), extract.og_value(c("_og"), "og:title"), extract.dom_title(c("_page")), extract.title_from_slug(c("url"))).alias("title"))
 
 
 @query("json_ld_product", f"""SELECT ord, {_LD_NAME} AS name, CASE WHEN p_size % 5 < 3 THEN {_SKU} ELSE '' END AS sku,
@@ -118,13 +124,13 @@ def _(t):
 
 @query("gallery_images", f"SELECT ord, {Q.joined(_GALLERY)} AS images FROM ({HTML}) h")
 def _(t):
-    return pages(t).select("ord", join(extract.gallery_images(c("html"))).alias("images"))
+    return pages(t).select("ord", join(extract.gallery_images(c("_page"))).alias("images"))
 
 
 @query("open_graph", f"""SELECT ord, {_OG_TITLE} AS title, CASE WHEN p_size % 3 = 0 THEN 'og   text' ELSE '' END AS description,
   {Q.joined(_OG_IMAGE)} AS image, coalesce({_OG_PRICE}, 0) AS price FROM ({HTML}) h""")
 def _(t):
-    og = pages(t).select("ord", extract.open_graph(c("html")).alias("og"))
+    og = pages(t).select("ord", extract.open_graph(c("_page")).alias("og"))
     value = lambda name: extract.og_value(c("og"), name)
     return og.select(
         "ord", value("og:title").alias("title"), extract.strip_tags(value("og:description")).alias("description"),
@@ -136,26 +142,26 @@ def _(t):
   '<div class="product-description"><p>Voor ' || p_name || '</p></div>' AS description FROM ({HTML}) h""")
 def _(t):
     return pages(t).select(
-        "ord", extract.dom_title(c("html")).alias("title"), extract.dom_sku(c("html")).alias("sku"),
-        extract.dom_brand(c("html")).alias("brand"), extract.dom_description(c("html")).alias("description"))
+        "ord", extract.dom_title(c("_page")).alias("title"), extract.dom_sku(c("_page")).alias("sku"),
+        extract.dom_brand(c("_page")).alias("brand"), extract.dom_description(c("_page")).alias("description"))
 
 
 @query("page_body_prices", f"SELECT ord, coalesce(CAST({_DOM_PRICE} AS VARCHAR), '') AS prices FROM ({HTML}) h")
 def _(t):
-    prices = F.transform(extract.dom_prices(c("html")), lambda p: p.cast("string"))
+    prices = F.transform(extract.dom_prices(c("_page")), lambda p: p.cast("string"))
     return pages(t).select("ord", join(prices).alias("prices"))
 
 
 @query("page_body_images", f"SELECT ord, {Q.joined(_DOM_IMAGES)} AS images FROM ({HTML}) h")
 def _(t):
-    return pages(t).select("ord", join(extract.dom_images(c("html"), c("url"))).alias("images"))
+    return pages(t).select("ord", join(extract.dom_images(c("_page"), c("url"))).alias("images"))
 
 
 @query("lowest_price", f"SELECT ord, coalesce({_PRICE}, 0) AS price FROM ({HTML}) h")
 def _(t):
     staged = extract.with_json_ld(pages(t)).withColumn("offer", F.try_element_at(extract.json_items(c("_ld.offers")), F.lit(1)))
-    og = extract.parse_price(extract.og_value(extract.open_graph(c("html")), "og:price:amount"))
-    candidates = F.concat(F.array(extract.ld_price(c("offer")), og), extract.dom_prices(c("html")))
+    og = extract.parse_price(extract.og_value(extract.open_graph(c("_page")), "og:price:amount"))
+    candidates = F.concat(F.array(extract.ld_price(c("offer")), og), extract.dom_prices(c("_page")))
     return staged.select("ord", extract.lowest_price(candidates).alias("price"))
 
 
@@ -166,12 +172,12 @@ def _(t):
 
 @query("heading_titles", rf"""SELECT page_id, {Q.strip(r"replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '\s*<[^>]+>\s*', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&apos;', chr(39)), '&nbsp;', chr(160)), '&euro;', '€'), '&pound;', '£'), '&amp;', '&')")} AS title FROM pages""")
 def _(t):
-    return t("pages").select("page_id", extract.dom_title(c("html")).alias("title"))
+    return landed(t).select("page_id", extract.dom_title(c("_page")).alias("title"))
 
 
 @query("breadcrumb_paths", f"""SELECT ord, {Q.joined(_CRUMBS)} AS crumbs, coalesce(({_CRUMBS})[-1], '') AS product_type FROM ({HTML}) h""")
 def _(t):
-    crumbs = pages(t).select("ord", extract.breadcrumbs(c("html")).alias("b"))
+    crumbs = pages(t).select("ord", extract.breadcrumbs(c("_page")).alias("b"))
     return crumbs.select("ord", join(c("b")).alias("crumbs"), extract.last_crumb(c("b")).alias("product_type"))
 
 
@@ -179,7 +185,7 @@ def _(t):
 SELECT page_id, coalesce(array_to_string(list_filter(list_transform(regexp_extract_all(regexp_extract(html, '(?is)<nav[^>]*>(.*?)</nav>', 1), '(?is)<a\b[^>]*>(.*?)</a>', 1),
   lambda x: {Q.strip('x')}), lambda x: x <> '' AND lower(x) NOT IN {Q.in_list(D.BREADCRUMB_DENYLIST)}), '|'), '') AS crumbs FROM pages""")
 def _(t):
-    return t("pages").select("page_id", join(extract.breadcrumbs(c("html"))).alias("crumbs"))
+    return landed(t).select("page_id", join(extract.breadcrumbs(c("_page"))).alias("crumbs"))
 
 
 _TABLE_FIT = """CASE WHEN p_size % 5 = 1 THEN 'Yamaha' ELSE '' END AS make, CASE WHEN p_size % 5 = 1 THEN 'MT-' || CAST(p_size AS VARCHAR) ELSE '' END AS model, '' AS year"""
@@ -193,12 +199,12 @@ def parts(df, column):
 
 @query("fitment_from_captioned_table", f"SELECT ord, {_TABLE_FIT} FROM ({HTML}) h")
 def _(t):
-    return parts(pages(t).withColumn("f", fitment.from_captioned_tables(c("html"))), "f")
+    return parts(pages(t).withColumn("f", fitment.from_captioned_tables(c("_page"))), "f")
 
 
 @query("fitment_from_attribute_table", f"SELECT ord, {_ATTR_FIT} FROM ({HTML}) h")
 def _(t):
-    return parts(pages(t).withColumn("f", fitment.from_attribute_table(c("html"))), "f")
+    return parts(pages(t).withColumn("f", fitment.from_attribute_table(c("_page"))), "f")
 
 
 _TITLE_FIT = f"""SELECT *, {title_model_sql('title', 'make')} AS model FROM (SELECT ord, title, {title_make_sql('title')} AS make, {title_year_sql('title')} AS year FROM"""
@@ -221,15 +227,15 @@ SELECT ord, CASE WHEN mk = '' THEN '' ELSE {Q.make('mk')} END AS make, {Q.strip(
 
 @query("fitment_merged", f"WITH h AS ({HTML}) {_MERGED}")
 def _(t):
-    html = c("html")
+    page = c("_page")
     staged = extract.with_json_ld(pages(t)).withColumn("title", extract.first_filled(
-        c("_ld.name"), extract.og_value(extract.open_graph(html), "og:title"), extract.dom_title(html), extract.title_from_slug(c("url"))))
+        c("_ld.name"), extract.og_value(extract.open_graph(page), "og:title"), extract.dom_title(page), extract.title_from_slug(c("url"))))
     return parts(fitment.with_fitment(staged), "fitment")
 
 
 @query("valid_products", f"SELECT ord FROM ({HTML}) h WHERE {_PRICE} IS NOT NULL")
 def _(t):
-    return extract.extract_products(pages(t)).select("ord")
+    return extract.extract_products(t.sql(HTML)).select("ord")
 
 
 @query("page_scan", f"""WITH h AS ({HTML}), f AS ({_MERGED})
@@ -239,7 +245,7 @@ SELECT ord, url, {_TITLE} AS title, {_SKU} AS sku, CASE p_size % 5 WHEN 0 THEN '
   CASE p_size % 5 WHEN 0 THEN '87' || CAST(p_partkey AS VARCHAR) WHEN 2 THEN 'GT' || CAST(p_size AS VARCHAR) ELSE '' END AS gtin,
   CASE WHEN p_size % 5 = 0 THEN 'InStock' ELSE '' END AS availability FROM h JOIN f USING (ord) WHERE {_PRICE} IS NOT NULL""")
 def _(t):
-    found = extract.extract_products(pages(t))
+    found = extract.extract_products(t.sql(HTML))
     return found.select("ord", "url", "title", "sku", "brand", "price_raw", "description_nl", join("images").alias("images"),
                         join("breadcrumbs").alias("breadcrumbs"), "fitment.*", "product_type", "gtin", "availability")
 

@@ -54,3 +54,11 @@ EXPORT_CONSTANTS = {
     "Variant Fulfillment Service": "manual",
     "Variant Taxable": "TRUE",
 }
+
+# Where a resized copy is kept, endings of image addresses, keys of gallery scripts, the folder of product
+# images, and attributes that hold an image address, best first.
+IMAGE_CACHE = r"/cache/[a-f0-9]{32}/"
+IMAGE_EXTENSION = r"(?i)\.(?:jpe?g|png|webp|gif)"
+GALLERY_KEYS = ["full", "img", "src", "url"]
+PRODUCT_MEDIA = "/media/catalog/product/"
+IMAGE_ATTRIBUTES = ["data-large_image", "data-src", "data-lazy-src", "data-original", "src"]

@@ -16,7 +16,6 @@ def test_title_case_and_slugs(one):
 
 
 def test_markup_text(one):
-    assert one(text.node_text, "<b> a </b> &amp; <i>b</i><!-- x -->") == ["a&b"]
     assert one(text.strip_tags, "<p>Hi</p> there") == ["Hi  there"]
 
 
