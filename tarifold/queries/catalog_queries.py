@@ -61,9 +61,9 @@ def _(t):
 
 
 @query("answers_to_cache", """
-SELECT md5(text) AS key, max('T' || text) AS text_en FROM documents WHERE text NOT LIKE '%[%' AND text <> '' GROUP BY text""")
+SELECT md5(text) AS key, max('T' || text) AS text_en FROM documents WHERE text IS NOT NULL GROUP BY text""")
 def _(t):
-    texts = t("documents").filter("text NOT LIKE '%[%' AND text <> ''").groupBy("text").agg(F.min("doc_id").alias("ord"))
+    texts = t("documents").filter("text IS NOT NULL").groupBy("text").agg(F.min("doc_id").alias("ord"))
     batches = translate.translation_batches(texts.select("ord", c("text").alias("description_nl")))
     # The answer an external translator would give: every text of the batch, numbered.
     numbered = F.transform("items", lambda i, k: F.concat(F.lit("["), (k + 1).cast("string"), F.lit("]\nT"), i["description_nl"]))
@@ -78,6 +78,18 @@ def _(t):
     return readers.raw_products(t.spark, path).select("ord", "url", "title", "sku", "brand", "price_raw", "product_type")
 
 
+# Positions in files of growing size, so that the readers' order (by size) is not that of the names.
+@query("raw_product_array", f"""
+SELECT row_number() OVER (ORDER BY floor(sqrt(ord)), ord) - 1 AS ord, url, title, sku FROM ({I.PRODUCTS}) p""")
+def _(t):
+    path = t.scratch("product_arrays")
+    rows = t.sql(I.PRODUCTS).withColumn("file", F.lpad(F.floor(F.sqrt("ord")).cast("string"), 9, "0"))
+    cells = F.sort_array(F.collect_list(F.struct("ord", F.struct("url", "title", "sku", "brand", "price_raw").alias("cell"))))
+    arrays = rows.groupBy("file").agg(F.to_json(F.transform(cells, lambda r: r["cell"])).alias("value"))
+    arrays.write.partitionBy("file").text(path)
+    return readers.raw_products_document(t.spark, f"{path}/*").select("ord", "url", "title", "sku")
+
+
 _LISTED = "SELECT DISTINCT p_type AS brand, 'https://shop.example/' || p_name AS url, CAST(p_size % 3 AS INT) AS page_no FROM part"
 
 

@@ -31,19 +31,19 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_nationkey, l_par
 """
 _PRICE = """CASE ln WHEN 1 THEN '' WHEN 2 THEN 'abc' WHEN 3 THEN '0' ELSE CAST(CAST(floor(price) AS BIGINT) AS STRING) || '.5' END"""
 SHOPIFY = f"""
-SELECT domain, page_no, status, CASE WHEN domain = 'store-10' AND page_no > 50 AND flag = 78 THEN '{{"products":[]}}' WHEN domain = 'store-12' THEN '[]' ELSE
+SELECT domain, page_no, status, CASE WHEN domain = 'store-10' AND page_no > 50 AND flag = 78 THEN '{{"products":[]}}' WHEN domain = 'store-12' THEN '[]' WHEN domain = 'store-13' THEN '{{"products":[]}}' ELSE
   '{{"products":[{{"title":"' || p_name || '","vendor":"' || p_brand || '","tags":' || CASE flag WHEN 82 THEN '["' || p_type || '","sale, x"]' ELSE '"' || p_type || ' , new,,"' END ||
   ',"variants":[{{"sku":" V' || CAST(page_no AS STRING) || ' ","price":"' || {_PRICE} || '"}},{{"sku":null,"price":"' || CAST(CAST(floor(price) AS BIGINT) AS STRING) || '"}}]}},' ||
   '{{"title":"second","vendor":null,"tags":[],"variants":[{{"sku":"W","price":"12.25"}}]}}]}}' END AS payload
-FROM ({_LANDED}) l JOIN part ON p_partkey = page_no WHERE domain <> 'store-13'
+FROM ({_LANDED}) l JOIN part ON p_partkey = page_no
 """
 WOO = f"""
-SELECT domain, page_no, status, CASE WHEN domain = 'store-11' AND page_no > 50 AND flag = 78 THEN '[]' ELSE
+SELECT domain, page_no, status, CASE WHEN domain = 'store-14' OR domain = 'store-11' AND page_no > 50 AND flag = 78 THEN '[]' ELSE
   '[{{"name":"' || p_name || '","sku":" K' || CAST(page_no AS STRING) || '","tags":[{{"name":"' || p_type || '"}},{{"name":"t2"}}],"categories":' ||
   CASE flag WHEN 82 THEN '[]' ELSE '[{{"name":"' || p_brand || '"}},{{"name":"other"}}]' END || ',"prices":{{"price":' ||
   CASE ln WHEN 1 THEN '"",' WHEN 2 THEN 'null,' WHEN 3 THEN '"€ 12.50",' ELSE '"' || CAST(CAST(floor(price) AS BIGINT) AS STRING) || '",' END ||
   '"regular_price":"' || CAST(page_no AS STRING) || '"' || CASE flag WHEN 65 THEN ',"currency_minor_unit":0' ELSE '' END || '}}}}]' END AS payload
-FROM ({_LANDED}) l JOIN part ON p_partkey = page_no WHERE domain <> 'store-14'
+FROM ({_LANDED}) l JOIN part ON p_partkey = page_no
 """
 
 _NUM = r"CASE WHEN regexp_matches(v.price, '^[0-9]+(\.[0-9]+)?$') THEN try_cast(v.price AS DOUBLE) ELSE 0 END"

@@ -15,7 +15,7 @@ COMPARE_AT_FRACTION = 0.30
 COMPARE_AT_SEED = 42
 MIN_CONFIDENCE = 0.75
 # Matches at or above it are found through the index of near texts.
-NEAR_CONFIDENCE = 0.94
+NEAR_CONFIDENCE = 0.96
 
 # Images.
 MIN_IMAGE_BYTES = 10_000

@@ -4,7 +4,7 @@ can go on without it."""
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import plain_number
@@ -30,9 +30,17 @@ def raw_products(spark: SparkSession, path: str) -> DataFrame:
 
 def raw_products_document(spark: SparkSession, path: str) -> DataFrame:
     """A cache that is one JSON array per file, as other tools write it. Rows without an
-    ``ord`` are numbered within their file, files in name order."""
+    ``ord`` are numbered through, files in name order.
+
+    Files are read in an order of the reader's own, each by one task from its start to its end. A row's place is thus the rows
+    of the files before (one row a file is summed up) and its distance from the first row of its own file.
+    """
     rows = spark.read.schema(PRODUCT).option("multiLine", True).json(path)
-    return rows.withColumn("ord", F.coalesce("ord", F.monotonically_increasing_id()))
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"))
+    files = rows.groupBy("_file").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_file", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return rows.join(files, "_file").withColumn("ord", F.coalesce("ord", F.col("_at") + F.col("_shift"))).drop("_file", "_at", "_shift")
 
 
 def competitors(spark: SparkSession, path: str) -> DataFrame:
