@@ -112,8 +112,8 @@ def _search(rotation: np.ndarray, k: int, block: int, doubt: float):
             turned = plain @ rotation
             for query_id, q in zip(queries["query_id"], queries["q"], strict=True):
                 q = np.asarray(q, dtype=np.float64)
-                near = scan(q @ rotation, turned, k + 1, block, doubt)  # one more: the query itself
-                near = near[ids[near] != query_id]
+                others = np.flatnonzero(ids != query_id)  # the query's own rows set no bound
+                near = others[scan(q @ rotation, turned if len(others) == len(ids) else turned[others], k, block, doubt)]
                 score = np.sqrt(((plain[near] - q) ** 2).sum(axis=1))
                 top = np.lexsort((ids[near], score))[:k]
                 asked.append(np.full(len(top), query_id))
@@ -140,8 +140,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, samp
     original vectors. A query that finds fewer than k probes all lists.
 
     Rows whose vector is NULL, zero or has NULL or non-finite components take no part, nor do NULL ids or vectors of
-    another length than most. Repeated rows of one id are candidates each, except for the query of that id. Fewer
-    than k candidates: all of them. Empty tables give an empty table. Other columns play no part.
+    another length than most. Repeated rows of one id are candidates each, except for the query of that id; as a query an id is asked
+    once (with its smallest vector). Fewer than k candidates: all of them. Empty tables give an empty table. Other columns play no part.
     """
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -151,7 +151,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, samp
         return empty
     dims, total = lengths["dims"], lengths["n"]
     base = base.where(F.col("dims") == dims).select("id", "v")
-    asked = usable(queries, id_col, vector_col).where(F.col("dims") == dims).select("id", "v")
+    asked = usable(queries, id_col, vector_col).where(F.col("dims") == dims).groupBy("id").agg(F.min("v").alias("v"))
     fit = base.withColumn("h", F.xxhash64(F.lit(seed), "id")).orderBy("h").limit(sample_rows).select("v").toPandas()
     sample = np.stack(fit["v"].to_numpy())
     lists = lists or int(np.clip(round(total ** 0.5), 1, 1024))
