@@ -158,7 +158,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = 3000, sa
     """
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1) and id is not null").distinct()
     joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null").join(marked, "id")
-    shares = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    # shares too come from the given documents only: labels of other (held-out) ones teach nothing
+    shares = {r["y"]: r["n"] for r in joined.select("id", "y").distinct().groupBy("y").agg(F.count("*").alias("n")).collect()}
     total = sum(shares.values())
     rows = []
     for y in (0, 1):
