@@ -313,6 +313,32 @@ def test_nearest_neighbours(spark):
     assert nearest.nearest_neighbours(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_nearest_neighbours_of_repeated_rows(spark):
+    """Each id asks once; repeated candidates are candidates each, but never those of the query's own id."""
+    v = np.random.default_rng(6).normal(size=(120, 6))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(0, v[0].tolist())] * 40 + [(50, v[50].tolist()), (7, v[7].tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ids, all_v = np.array([i for i, _ in rows]), np.array([x for _, x in rows])
+    got = {}
+    for r in nearest.nearest_neighbours(table, table.where("vec_id % 50 = 0"), probes=11).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    for q in (0, 50, 100):
+        far = np.sqrt(((all_v - v[q]) ** 2).sum(axis=1))
+        order = [i for i in np.lexsort((ids, far)) if ids[i] != q][:10]
+        assert got[q] == [(n + 1, ids[i]) for n, i in enumerate(order)]
+    assert len(got) == 3
+
+
+def test_toxicity_learns_nothing_from_held_out_labels(spark):
+    random = np.random.default_rng(12)
+    plain = ["".join(random.choice(list("aeioubdkl"), 5)) for _ in range(200)]
+    text = lambda i: " ".join([*random.choice(plain, 40), *["grobnix fulzator"] * (i % 4 == 0)])
+    table = spark.createDataFrame([(i, text(i)) for i in range(200)], "doc_id long, text string")
+    models = [toxicity.fit_toxicity(table.where("doc_id % 5 <> 0"), spark.createDataFrame(
+        [(i, held if i % 5 == 0 else int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")) for held in (0, 1)]
+    assert models[0] is not None and models[0] == models[1]
+
+
 def test_toxicity_learns_and_bears_awkward_rows(spark, docs, nothing):
     random = np.random.default_rng(8)
     plain = ["".join(random.choice(list("aeioubdkl"), 5)) for _ in range(400)]
