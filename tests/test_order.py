@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tarifold.operators.dedupe import keep_first_by_two_keys
+from tarifold.operators.dedupe import components, keep_first_by_two_keys
 from tarifold.operators.handles import unique_handles
 from tarifold.operators.sampling import exact_fraction
 from tarifold.operators.translate import translation_batches
@@ -40,6 +40,46 @@ def test_dedupe_random(spark):
         assert got == greedy(rows)
 
 
+def chain(n, order):
+    """Rows that share a sku with one neighbour and a url with the other."""
+    return [(order[i], f"s{i // 2}", f"u{(i + 1) // 2}") for i in range(n)]
+
+
+def test_dedupe_of_chains_takes_few_jobs(spark):
+    """In rounds alone, a chain in order takes a round for every other row."""
+    rng = random.Random(3)
+    jobs = []
+    for n, shuffled in ((1_000, False), (10_000, False), (10_000, True)):
+        order = list(range(n))
+        if shuffled:
+            rng.shuffle(order)
+        rows = chain(n, order) + [(n + i, "", f"x{i % 7}") for i in range(50)]
+        df = spark.createDataFrame(rows, "ord long, sku string, url string")
+        group = f"chain-{n}-{shuffled}"
+        spark.sparkContext.setJobGroup(group, group)
+        got = [r.ord for r in keep_first_by_two_keys(df).filter("kept").orderBy("ord").collect()]
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+        assert got == greedy(rows)
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert jobs[1] < 1.6 * jobs[0] and jobs[1] < 400 and jobs[2] < 400
+
+
+def test_dedupe_of_large_components_goes_on_in_rounds(spark):
+    rng = random.Random(8)
+    rows = [(1000 + i, f"s{rng.randrange(60)}", f"u{rng.randrange(80)}") for i in range(200)]
+    rows += [(3000 + r[0], "c" + r[1], "c" + r[2]) for r in chain(30, list(range(30)))]
+    df = spark.createDataFrame(rows, "ord long, sku string, url string")
+    for rounds, largest in ((0, 10**6), (0, 40), (1, 5), (0, 0)):
+        got = [r.ord for r in keep_first_by_two_keys(df, rounds, largest).filter("kept").orderBy("ord").collect()]
+        assert got == greedy(rows)
+
+
+def test_components(spark):
+    rows = [(9, "a", "1"), (4, "b", "1"), (7, "b", "2"), (2, None, "3"), (8, None, "2"), (5, "c", "4"), (6, "c", "5"), (1, "d", "6")]
+    df = spark.createDataFrame(rows, "ord long, sku string, url string")
+    assert {r.ord: r.label for r in components(df).collect()} == {9: 4, 4: 4, 7: 4, 8: 4, 2: 2, 5: 5, 6: 5, 1: 1}
+
+
 def test_dedupe_of_nothing(spark):
     df = spark.createDataFrame([], "ord long, sku string, url string")
     assert keep_first_by_two_keys(df).count() == 0
