@@ -4,7 +4,8 @@ Two facts carry everything here:
 
 * at most ``1 / share`` keys can each own more than ``share`` of the rows, so the set of
   heavy keys is small whatever the data are, and may be broadcast;
-* a key that is not heavy owns at most ``share`` of the rows, so a hash partition stays small.
+* a heavy key is dealt to as many tasks as its own row count asks for, so what one task gets of it does not
+  grow with the data.
 """
 
 from __future__ import annotations
@@ -13,62 +14,58 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HEAVY_SHARE = 1.0 / 10_000
-SALTS = 256
-MIN_HEAVY_ROWS = 1000
+ROWS_PER_TASK = 100_000
 
 
-def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame:
-    """Keys that own more than ``share`` of the rows: never more than ``1 / share`` rows.
+def heavy_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, share: float = HEAVY_SHARE) -> DataFrame:
+    """``key`` and ``salts`` of the keys (NULL is one) that own more rows than a task should get and more than
+    ``share`` of all: never more than ``1 / share`` rows.
 
     Counting is map-side combined, so a heavy key costs one row per task.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return _above_share(counts, key, share)
+    return _heavy(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")), key, rows_per_task, share)
 
 
-def _above_share(counts: DataFrame, key: str, share: float) -> DataFrame:
+def _heavy(counts: DataFrame, key: str, rows_per_task: int, share: float) -> DataFrame:
     total = counts.agg(F.sum("n")).scalar()
-    return counts.filter(F.col("n") > F.greatest(total * F.lit(share), F.lit(MIN_HEAVY_ROWS))).select(key)
+    heavy = counts.filter(F.col("n") > F.greatest(total * F.lit(share), F.lit(float(rows_per_task))))
+    return heavy.select(key, F.ceil(F.col("n") / rows_per_task).cast("int").alias("salts"))
 
 
-def _as_local(heavy: DataFrame) -> DataFrame | None:
-    """The few heavy keys as a local table, None where there are none (the usual case)."""
-    rows = heavy.collect()
-    return heavy.sparkSession.createDataFrame(rows, heavy.schema) if rows else None
+def _as_local(heavy: DataFrame) -> DataFrame:
+    """The few heavy keys as a local table, so that they are counted once."""
+    return heavy.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
 
 
 def join_lookup(left: DataFrame, right: DataFrame, key: str, spread: Column, how: str = "left",
-                keys: DataFrame | None = None, share: float = HEAVY_SHARE, salts: int = SALTS) -> DataFrame:
+                keys: DataFrame | None = None, rows_per_task: int = ROWS_PER_TASK, share: float = HEAVY_SHARE) -> DataFrame:
     """Join rows to a table that has one row per key.
 
-    ``spread`` is any row-unique column of ``left``. Rows of a heavy key are spread over
-    ``salts`` partitions and its single right row is repeated as often; rows without a key
-    are spread too, as they would otherwise share one partition of an outer join.
+    ``spread`` is any row-unique column of ``left``. Rows of a heavy key are spread over its salts, as many as its
+    rows fill tasks, and its single right row is repeated as often. Rows without a key, which share
+    one partition of an outer join, are spread likewise. The plan is the same whether there are such keys or not.
 
     Heavy keys are counted once, over ``keys``, by default ``left`` itself. Where ``left`` is
     the result of much work, pass the table its key comes from.
     """
-    heavy = _as_local(heavy_keys((left if keys is None else keys).select(key), key, share))
-    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-    if heavy is None:
-        salted = left.withColumn("_salt", F.when(F.col(key).isNull(), salt).otherwise(F.lit(0)))
-        repeated = right.withColumn("_salt", F.lit(0))
-    else:
-        marks = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
-        scattered = F.col(key).isNull() | F.col("_heavy")
-        salted = left.join(marks, key, "left").withColumn("_salt", F.when(scattered, salt).otherwise(F.lit(0)))
-        copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        repeated = right.join(marks, key, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
-        salted = salted.drop("_heavy")
+    heavy = _as_local(heavy_keys((left if keys is None else keys).select(key), key, rows_per_task, share))
+    marks = F.broadcast(heavy.select(F.col(key).alias("_key"), F.col("salts").alias("_salts")))
+    salts = F.coalesce("_salts", F.lit(1))
+    # the null-safe match finds the salts of rows without a key as well
+    salted = left.join(marks, left[key].eqNullSafe(F.col("_key")), "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("_key", "_salts")
+    repeated = right.join(marks, right[key] == F.col("_key"), "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_key", "_salts")
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
-def drop_matching(rows: DataFrame, keys: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame:
+def drop_matching(rows: DataFrame, keys: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, share: float = HEAVY_SHARE) -> DataFrame:
     """Rows whose key is not in ``keys`` (one row per key, with its row count in ``n``).
 
     Heavy keys go first, by a broadcast of at most ``1 / share`` of them and without moving
-    any row; what is left to shuffle has no heavy key among the dropped ones.
+    any row; what is left to shuffle has no heavy key among the dropped ones. Rows without a key match
+    nothing and are set aside, so they are not shuffled either.
     """
-    heavy = _as_local(_above_share(keys, key, share))
-    rest = rows if heavy is None else rows.join(F.broadcast(heavy), key, "left_anti")
-    return rest.join(keys.select(key), key, "left_anti")
+    heavy = _as_local(_heavy(keys, key, rows_per_task, share)).select(key)
+    rest = rows.filter(F.col(key).isNotNull()).join(F.broadcast(heavy), key, "left_anti")
+    return rest.join(keys.select(key), key, "left_anti").select(*rows.columns).unionByName(rows.filter(F.col(key).isNull()))

@@ -209,17 +209,35 @@ def test_apply_pricing_and_audit(spark):
 
 
 def test_heavy_key_join_is_exact(spark):
+    """A third of the rows on one key, a third without any."""
     left = spark.range(9000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 50)).alias("key"))
-    right = spark.createDataFrame([("hot", 1)] + [(f"k{n}", n + 10) for n in range(40)], "key string, v int")
-    assert [r.key for r in heavy_keys(left, "key").collect()] == ["hot"]
-    got = join_lookup(left, right, "key", F.col("id"))
+    right = spark.createDataFrame([("hot", 1), (None, 5)] + [(f"k{n}", n + 10) for n in range(40)], "key string, v int")
     plain = left.join(right, "key", "left")
-    assert sorted(map(tuple, got.select("id", "key", "v").collect())) == sorted(map(tuple, plain.select("id", "key", "v").collect()))
-    assert join_lookup(left, right, "key", F.col("id"), "inner").count() == plain.filter("v IS NOT NULL").count()
+    for rows, heavy in ((1000, {(None, 3), ("hot", 3)}), (50, {(None, 60), ("hot", 60)} | {(f"k{n}", 2) for n in range(50)}), (10**6, set())):
+        assert {tuple(r) for r in heavy_keys(left, "key", rows).collect()} == heavy
+        got = join_lookup(left, right, "key", F.col("id"), rows_per_task=rows)
+        assert sorted(map(str, got.select("id", "key", "v").collect())) == sorted(map(str, plain.select("id", "key", "v").collect()))
+        assert join_lookup(left, right, "key", F.col("id"), "inner", rows_per_task=rows).count() == plain.filter("v IS NOT NULL").count()
+    assert heavy_keys(left, "key", 50, 0.3).count() == 2 and heavy_keys(left.limit(0), "key").count() == 0
+
+
+def test_hot_key_is_dealt_to_many_tasks(spark):
+    left = spark.range(6000).select("id", F.lit("hot").alias("key"))
+    right = spark.createDataFrame([("hot", 1)], "key string, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = join_lookup(left, right, "key", F.col("id"), rows_per_task=50).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(parts) == 4 and max(r["count"] for r in parts) < 2400
 
 
 def test_drop_matching(spark):
-    rows = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"))
+    rows = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 50)).alias("key"))
     gone = spark.createDataFrame([("hot", 2000), ("k1", 10)], "key string, n long")
-    assert drop_matching(rows, gone, "key").count() == rows.filter("key NOT IN ('hot', 'k1')").count()
+    for rows_per_task in (1, 1000, 10**6):
+        got = drop_matching(rows, gone, "key", rows_per_task)
+        assert got.columns == rows.columns and got.count() == rows.filter("key IS NULL OR key NOT IN ('hot', 'k1')").count()
