@@ -124,10 +124,16 @@ def _leaf(text: str) -> str:
 _TERMS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 #: The nodes above a list of nodes.
 _MERGED = "list_transform(range(0, (len(nodes) + 15) // 16), lambda k: sha256(array_to_string(nodes[k * 16 + 1 : k * 16 + 16], '')))"
-#: crc32 of the decimal id: bytes are mixed in, eight shifts (-1) follow each.
-_CRC = ("xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''), "
-        "lambda x: [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), "
-        "lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) ELSE xor(c >> 1, (c & 1) * 3988292384) END))")
+def _crc(text: str) -> str:
+    """crc32 of a text's UTF-8 bytes: each byte is mixed in, eight shifts (-1) follow."""
+    shifts = ", ".join(["-1"] * 8)
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(regexp_extract_all(hex(encode({text})), '..'), "
+            f"lambda x: [('0x' || x)::BIGINT, {shifts}]))), "
+            "lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) ELSE xor(c >> 1, (c & 1) * 3988292384) END))")
+
+
+_CRC = _crc("doc_id::VARCHAR")
+
 
 def _phrases() -> str:
     """The licence rules as rows (num, template, place, words, label, base)."""
@@ -147,6 +153,12 @@ marked AS (SELECT l.*, (s.k IS NOT NULL AND l.doc_id > s.keeper) AS gone FROM li
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op4_sharding": f"""
+WITH sized AS (SELECT doc_id, coalesce(strlen(text), 0) + 8 AS size, {_crc("coalesce(text, '')")} AS text_crc32 FROM documents),
+placed AS (SELECT *, sum(size) OVER w - size AS start, sum(size) OVER () AS total FROM sized
+           WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING)),
+cut AS (SELECT *, (start * {SHARDS} // total)::INT AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY start) - 1 AS slot, NULL::INT AS grown_shard FROM cut""",
     "op5_mixing": f"""
 WITH RECURSIVE rates AS (
   SELECT source_key, 1.0::DOUBLE / (sum(1.0::DOUBLE) OVER ()) * (sum(n) OVER ())::DOUBLE / n AS repetition_rate
