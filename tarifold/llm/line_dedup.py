@@ -20,14 +20,15 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, min_docs: int = 2,
     A text that is NULL or empty is one empty line. Keys shorter than ``min_chars`` are never
     dropped. A document is its id, so a line twice in one document (or in repeated rows with one
     id) counts once and stays; a NULL id is one document that comes last. Ties can't happen: ids
-    are compared, not rows. An empty table gives an empty table. Names that clash with the added
-    columns are an error of the caller, who renames them before.
+    are compared, not rows. An empty table gives an empty table. Where ``docs`` has a column of an
+    added name, the added one gets ``_`` in front.
     """
     own, mark = free_name(docs, "own_id"), free_name(docs, "own_text")
+    n_lines, n_dropped, kept_text = (free_name(docs, n) for n in ("n_lines", "n_dropped", "kept_text"))
     docs = docs.withColumns({
         own: F.coalesce(F.col(id_col), F.lit(LAST_ID)), mark: F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))),
     })
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
+    lines = F.split(F.coalesce(docs[text_col], F.lit("")), "\n", -1)
     exploded = docs.select(
         F.col(own).alias("doc"), F.col(mark).alias("mark"), F.posexplode(lines).alias("pos", "line"),
     ).withColumn("line", lower_ascii(F.btrim("line", F.lit(BLANKS)))).where(F.char_length("line") >= min_chars)
@@ -46,11 +47,11 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, min_docs: int = 2,
     # The kept numbers are a set difference of integers, which is hashed, so very long texts stay linear.
     joined = docs.join(dropped, (docs[own] == dropped["doc"]) & (docs[mark] == dropped["mark"]), "left")
     all_lines = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.array_except(all_lines, F.coalesce("gone", F.array().cast("array<int>")))
+    kept = F.array_except(all_lines, F.coalesce(dropped["gone"], F.array().cast("array<int>")))
     return joined.select(
         *[docs[c] for c in docs.columns if c not in (own, mark)],
-        F.size(lines).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(F.col("gone").isNull(), F.coalesce(F.col(text_col), F.lit("")))
-        .otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")).alias("kept_text"),
+        F.size(lines).cast("long").alias(n_lines),
+        F.coalesce(F.size(dropped["gone"]), F.lit(0)).cast("long").alias(n_dropped),
+        F.when(dropped["gone"].isNull(), F.coalesce(docs[text_col], F.lit("")))
+        .otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")).alias(kept_text),
     )
