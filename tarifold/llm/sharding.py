@@ -26,7 +26,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", te
     place in the input, so even one id that owns a third of the rows is spread over many ranges;
     which of equal rows gets which slot is then without meaning. A very long text is one row and
     may fill a shard by itself, others then stay empty. An empty table gives an empty table.
-    ``docs`` is read twice and should be a stored table, whose rows keep their order.
+    ``docs`` is read twice and should be a stored table, whose rows keep their order. Where it has a column of an added
+    name, the added one gets ``_`` in front.
     """
     row = free_name(docs, "row_no")
     docs = docs.withColumn(row, F.monotonically_increasing_id())
@@ -58,4 +59,5 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", te
     placed = stored(placed.select(row, "size", "text_crc32", "at", shard.alias("shard")), "shard-places")
     firsts = placed.groupBy("shard").agg(F.min("at").alias("first"))  # one row per shard
     placed = placed.join(F.broadcast(firsts), "shard").withColumn("slot", F.col("at") - F.col("first")).drop("at", "first")
-    return docs.join(placed, row).drop(row)
+    added = {c: free_name(docs, c) for c in ("size", "text_crc32", "shard", "slot")}
+    return docs.join(placed.select(row, *[F.col(c).alias(name) for c, name in added.items()]), row).drop(row)
