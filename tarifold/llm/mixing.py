@@ -49,9 +49,10 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, tot
     repeated rows draw the same number each. NULL sources are one source (key ``''``, shared with
     the empty name); NULL ids and NULL or empty texts are documents like others. An empty table
     gives an empty table. Added columns: ``repetition_rate``, ``n_copies``, ``copy`` (from 1),
-    ``shuffle_key``. With ``shuffle`` the copies are dealt by range of that hash key and sorted by it.
+    ``shuffle_key``, with ``_`` in front where ``docs`` has such a column. With ``shuffle`` the copies are dealt by range of that hash key and sorted by it.
     """
     name = free_name(docs, "source_key")
+    rate, n_copies, copy, shuffle_key = (free_name(docs, c) for c in ("repetition_rate", "n_copies", "copy", "shuffle_key"))
     docs = docs.withColumn(name, F.coalesce(F.col(source_col), F.lit("")))
     sizes = docs.groupBy(name).agg(F.count("*").alias("n_of_source"))
     if weights is None:
@@ -63,20 +64,20 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, tot
     sums = sizes.agg(F.sum("weight").alias("all_weight"), F.sum("n_of_source").alias("n_all"))
     wanted = F.col("n_all").cast("double") if total_rows is None else F.lit(float(total_rows))
     rates = sizes.crossJoin(F.broadcast(sums)).select(  # one row on the right
-        name, (F.col("weight") / F.col("all_weight") * wanted / F.col("n_of_source")).alias("repetition_rate"),
+        name, (F.col("weight") / F.col("all_weight") * wanted / F.col("n_of_source")).alias(rate),
     )
     rates = stored(rates, "mix-rates")  # its size is then known, and Spark broadcasts it only within its own limit
     rated = docs.join(rates, name)
-    draws = F.greatest(F.ceil(F.col("repetition_rate") / STEP), F.lit(1)).cast("int")
+    draws = F.greatest(F.ceil(F.col(rate) / STEP), F.lit(1)).cast("int")
     key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(name))
-    part = F.col("repetition_rate") / draws
+    part = F.col(rate) / draws
     number = F.aggregate(
         F.sequence(F.lit(1), draws), F.lit(0),
         lambda n, i: n + poisson_of(part, uniform(F.concat_ws(":", key, i.cast("string")))),
     )
-    copies = rated.withColumn("n_copies", number).where("n_copies > 0").withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))),
-    ).withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit("order"), key, F.col("copy").cast("string")).cast("binary"))).drop(name)
+    copies = rated.withColumn(n_copies, number).where(F.col(n_copies) > 0).withColumn(
+        copy, F.explode(F.sequence(F.lit(1), F.col(n_copies))),
+    ).withColumn(shuffle_key, F.md5(F.concat_ws(":", F.lit("order"), key, F.col(copy).cast("string")).cast("binary"))).drop(name)
     if shuffle:
-        copies = copies.repartitionByRange(F.col("shuffle_key")).sortWithinPartitions("shuffle_key", id_col)
+        copies = copies.repartitionByRange(F.col(shuffle_key)).sortWithinPartitions(shuffle_key, id_col)
     return copies
