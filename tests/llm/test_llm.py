@@ -177,6 +177,32 @@ def test_sharding_is_contiguous_and_balanced(docs, nothing):
     assert sharding.shard_by_bytes(nothing.drop("size"), 4).count() == 0
 
 
+def test_added_columns_beside_columns_of_the_same_names(docs):
+    """The given columns stay as they are, the added ones get a free name."""
+    cases = [
+        (line_dedup.line_dedup, ("n_lines", "n_dropped", "kept_text", "gone", "doc", "mark", "own_id")),
+        (lambda d: sharding.shard_by_bytes(d, 4), ("size", "text_crc32", "shard", "slot", "row_no", "at", "range")),
+        (lambda d: mixing.mix_sources(d, seed=4), ("repetition_rate", "n_copies", "copy", "shuffle_key", "weight", "source_key")),
+    ]
+    plain = docs.select("doc_id", "text", "source")
+    for operator, names in cases:
+        alone = operator(plain)
+        both = operator(plain.withColumns({n: F.lit("given") for n in names}))
+        assert both.where(" OR ".join(f"{n} <> 'given'" for n in names)).count() == 0
+        added = [c for c in alone.columns if c not in plain.columns]
+        renamed = both.select(*plain.columns, *[F.col(f"_{c}" if c in names else c).alias(c) for c in added])
+        assert Counter(map(str, renamed.collect())) == Counter(map(str, alone.collect()))
+
+
+def test_shards_are_cut_from_one_order(spark):
+    rows = [(i * 37 % 1000, "x" * (i * 7919 % 300)) for i in range(1000)]
+    got = sharding.shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string"), 7).collect()
+    start, total = 0, sum(len(t) + 8 for _, t in rows)
+    for r in sorted(got, key=lambda r: r["doc_id"]):
+        assert r["shard"] == start * 7 // total
+        start += r["size"]
+
+
 def poisson(mean, u):
     p = c = math.exp(-mean)
     k = 0
