@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarifold.llm import decontaminate, mixing, ngram_join, sharding, toxicity
-from tarifold.llm.common import stored, table
+from tarifold.llm.common import free_name, stored, table
 
 SHARDS = 24
 SEED = 11
@@ -15,7 +15,8 @@ SEED = 11
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the compression-distance classifier gives 0.5 or more."""
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return toxicity.toxicity_scores(docs, model, score_col="toxicity_score").where(F.col("toxicity_score") < 0.5).select(*docs.columns)
+    score = free_name(docs, "toxicity_score")
+    return toxicity.toxicity_scores(docs, model, score_col=score).where(F.col(score) < 0.5).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
