@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -29,13 +30,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for ``DataFrame.checkpoint``.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that one is used
-    as it is. Only where nothing is configured (tests, a laptop) a folder is made.
+    as it is. Only in local mode (tests, a laptop) a folder is made where nothing is configured:
+    elsewhere executors would not see it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
+    if not configured and not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError(f"spark.checkpoint.dir names no shared folder, which {context.master} needs")
     folder = configured or tempfile.mkdtemp(prefix="tarifold-checkpoint-")
     context.setCheckpointDir(folder)
     return folder

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tarifold.operators.dedupe import components, keep_first_by_two_keys
@@ -9,6 +10,7 @@ from tarifold.operators.handles import unique_handles
 from tarifold.operators.sampling import exact_fraction
 from tarifold.operators.translate import translation_batches
 from tarifold.plans.ranks import global_position
+from tarifold.session import ensure_checkpoint_dir
 
 
 def greedy(rows):
@@ -130,3 +132,18 @@ def test_batches(spark):
     df = spark.range(23).select(F.col("id").alias("ord"), F.col("id").cast("string").alias("description_nl"))
     got = {r.batch: [i.ord for i in r["items"]] for r in translation_batches(df).collect()}
     assert got == {0: list(range(10)), 1: list(range(10, 20)), 2: [20, 21, 22]}
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
