@@ -33,8 +33,9 @@ def _heavy(counts: DataFrame, key: str, rows_per_task: int, share: float) -> Dat
 
 
 def _as_local(heavy: DataFrame) -> DataFrame:
-    """The few heavy keys as a local table, so that they are counted once."""
-    return heavy.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
+    """The few heavy keys as a local table, so that they are counted once; the optimizer drops the joins to an empty one."""
+    rows = heavy.collect()
+    return heavy.sparkSession.createDataFrame(rows, heavy.schema) if rows else heavy.limit(0)
 
 
 def join_lookup(left: DataFrame, right: DataFrame, key: str, spread: Column, how: str = "left",
