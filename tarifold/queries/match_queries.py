@@ -142,6 +142,11 @@ def priced_products(t: Tables):
     return pricing.price_products(match.match_all(t.sql(I.FULL_PRODUCTS), converted(t)))
 
 
+def decided(t: Tables):
+    """The decisions alone, written once: the sample reads its input twice."""
+    return priced_products(t).select("ord", "pricing_meta").checkpoint()
+
+
 @query("price_decision", f"""{_PRICED}
 SELECT ord, sku, round({Q.cents('net')}, 6) AS net_cost, round(compare_at, 6) AS compare_at_price, round(price, 6) AS new_price,
   round(margin, 6) AS margin_pct, method, round({Q.cents('round(p60, 9)')}, 6) AS p60, round({Q.cents('net * 135e-2')}, 6) AS min_clamp,
@@ -191,7 +196,7 @@ def _(t):
 
 @query("sale_sample", f"{_PRICED}, {SALE} SELECT ord, round(compare_at, 6) AS sale_price FROM decided JOIN on_sale USING (ord)")
 def _(t):
-    sold = pricing.mark_sale(priced_products(t)).filter("sale_price IS NOT NULL")
+    sold = pricing.mark_sale(decided(t)).filter("sale_price IS NOT NULL")
     return sold.select("ord", F.round("sale_price", 6).alias("sale_price"))
 
 
@@ -241,4 +246,4 @@ def _(t):
 SELECT CAST(count_if(method = 'competitor') AS BIGINT) AS competitor_based, CAST(count_if(method = 'default') AS BIGINT) AS default_based,
   (SELECT count(*) FROM on_sale) AS on_sale, count(*) AS products FROM decided""")
 def _(t):
-    return pricing.pricing_summary(pricing.mark_sale(priced_products(t)))
+    return pricing.pricing_summary(pricing.mark_sale(decided(t)))
