@@ -17,12 +17,14 @@ from .hashing import FACTORS, U, chunks, mix, pair_chunks, shingle_sets
 
 #: Groups of at most this many members are held together as one row; larger ones are split up.
 LIGHT = 32
-#: Members of a larger group that are compared with all its others in one round.
-LEADERS = 32
+#: Members of a larger group that are compared with all its others in the first round, and how their number grows by round.
+LEADERS, GROWTH = 32, 8
 #: Comparisons with one leader that one task is given.
 PER_LEADER = 256
 #: Independent partitions of the universe that a set goes through until its segments suffice.
 FAMILIES = 4
+#: 64-bit words of the folded sketch that pairs are held against while they are made; no sketch is shorter.
+COARSE = 4
 #: Entries (hash and row number) of one bucket, as the buckets' number is chosen from the input's size.
 BUCKET_TEXT_BYTES = 8 << 20
 
@@ -45,6 +47,15 @@ def largest_difference(n, percent: int):
     return (n + s) * (100 - percent) // (100 + percent)
 
 
+@lru_cache(maxsize=None)
+def equal_only(percent: int) -> int:
+    """The largest size whose sets link with equal sets alone."""
+    n = 0
+    while largest_difference(n + 1, percent) == 0:
+        n += 1
+    return n
+
+
 @lru_cache(maxsize=None)
 def plan_for(top: int, percent: int) -> Plan:
     """The cheapest cut for sets of up to ``top`` elements.
@@ -78,11 +89,13 @@ def plan_for(top: int, percent: int) -> Plan:
 
 
 def bands(n: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
-    """(largest size of a band, the sets that are in it or may have a partner in it)."""
-    first = max(1, 100 // (100 - percent)) if percent < 100 else 1 << 62
+    """(largest size of a band, the sets that are in it or may have a partner in it).
+
+    The first band holds the sets that link with equal ones alone: one signature of the whole set is all they need."""
+    first = equal_only(percent) if percent < 100 else 1 << 62
     found, low = [], 1
     while low <= (int(n.max()) * 100 // percent if len(n) else 0):
-        high = first - 1 if low < first else 2 * low - 1
+        high = max(first, 1) if low == 1 else 2 * low - 1
         inside = np.flatnonzero((n <= high) & (n * 100 // percent >= low) & (n > 0))
         if len(inside):
             found.append((high, inside))
@@ -96,7 +109,10 @@ def _salt(segment: np.ndarray, high: int, family: int) -> np.ndarray:
 
 
 def entries(sets: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Index entries of many sets: (64-bit signature, set), then per set its units to spare and its largest weight.
+    """Index entries of many sets: (63-bit signature, set), then per set its units to spare and its largest weight.
+
+    The lowest bit of a signature says that an element was taken off. Segments that differ by one element agree as the
+    smaller one's whole and the larger one's neighbour, so two neighbours of one signature are no reason to compare.
 
     Sets are hash-sorted, so a segment, a range of hashes, is a run. Its signature is the sum of
     its mixed elements; taking one element off is a subtraction. Empty segments have no entry. To
@@ -129,11 +145,11 @@ def entries(sets: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray,
             total = np.add.reduceat(h, begins) if len(begins) else np.zeros(0, np.uint64)
             loose = segment[begins] < plan.loose
             units = np.bincount(where[begins], weights=1 + (loose & (count > 1)), minlength=len(left)).astype(np.int64)
-            sigs.append(mix(total ^ salt))
+            sigs.append(mix(total ^ salt) & ~U(1))
             owners.append(left[where[begins]])
             if plan.loose:
                 cut = np.repeat(loose & (count > 1), count)
-                sigs.append(mix((np.repeat(total, count)[cut] - h[cut]) ^ np.repeat(salt, count)[cut]))
+                sigs.append(mix((np.repeat(total, count)[cut] - h[cut]) ^ np.repeat(salt, count)[cut]) | U(1))
                 owners.append(left[where[cut]])
             extra = units - largest_difference(sizes, percent) - 1
             done = (extra >= 0) | (family == FAMILIES - 1)
@@ -146,7 +162,7 @@ def entries(sets: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray,
                 mine = place[where[begins]] >= 0
                 there[place[where[begins]][mine], segment[begins][mine]] = True
                 r, s = np.nonzero(~there)
-                sigs.append(mix(_salt(s, high, family)))
+                sigs.append(mix(_salt(s, high, family)) & ~U(1))
                 owners.append(left[short[r]])
             spare[left] = np.minimum(spare[left], extra)  # below 0 as soon as one family falls short
             left = left[~done]
@@ -158,13 +174,13 @@ def entries(sets: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray,
 
 
 def sketches(sets: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """Per set the parities of how many elements fall to each of 4 n (up to a power of two) places, as 64-bit words.
+    """Per set the parities of how many elements fall to each of 4 n (up to a power of two, 256 at least) places, as 64-bit words.
 
     Two sets differ in at least as many elements as their sketches (of one length) differ in bits. A longer
     sketch is folded to half its length by xor of its halves.
     """
     n = np.diff(at)
-    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
+    bits = np.maximum(64 * COARSE, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
     begins = np.concatenate([[0], np.cumsum(bits // 64)])
     owner = np.repeat(np.arange(len(n)), n)
     place = (mix(sets + FACTORS[44]) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
@@ -188,6 +204,25 @@ def may_link(percent: int, na: Column, nb: Column, sa: Column, sb: Column) -> Co
         near | (F.greatest(F.size(sa), F.size(sb)) > 2 * k))
 
 
+def folded(sketch: Column) -> list[Column]:
+    """The sketch folded to ``COARSE`` words, each a column of its own."""
+    def word(j: int) -> Column:
+        mine = F.filter(sketch, lambda _, i: F.pmod(i, F.lit(COARSE)) == j)
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda t, x: t.bitwiseXOR(x))
+
+    return [word(j).alias(f"s{j}") for j in range(COARSE)]
+
+
+def may_link_coarse(percent: int, left: str, right: str) -> Column:
+    """As :func:`may_link`, on the folded sketches of two sides of a join, in generated code."""
+    def at(side: str, name: str) -> Column:
+        return F.col(f"{side}.{name}")
+
+    na, nb = at(left, "n"), at(right, "n")
+    apart = sum((F.bit_count(at(left, f"s{j}").bitwiseXOR(at(right, f"s{j}"))) for j in range(COARSE)), F.lit(0))
+    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (apart * (100 + percent) <= (na + nb) * (100 - percent))
+
+
 def _sizes(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -240,28 +275,32 @@ def _index(percent: int, buckets: int):
 
 
 def _groups(frame: pd.DataFrame) -> pd.DataFrame:
-    """Rows of one bucket that share a signature: one row per different light group, one per member of a heavy one."""
+    """Rows of one bucket that share a signature: one row per different light group, one per member of a heavy one.
+
+    A group of nothing but one-deletion neighbours is no group."""
     sig = np.concatenate([np.frombuffer(s, np.uint32) for s in frame["sigs"]])
     uid = np.concatenate([np.frombuffer(o, np.uint32 if w else np.uint16).astype(np.int64) + b
                           for o, w, b in zip(frame["owners"], frame["wide"], frame["base"], strict=True)])
-    order = np.lexsort((uid, sig))
-    sig, uid = sig[order], uid[order]
+    shorter, sig = (sig & 1).astype(bool), sig >> 1
+    order = np.lexsort((shorter, uid, sig))  # a set that is in a group both ways is there as a whole
+    sig, uid, shorter = sig[order], uid[order], shorter[order]
     new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (uid[1:] != uid[:-1])])
-    sig, uid = sig[new], uid[new]
+    sig, uid, shorter = sig[new], uid[new], shorter[new]
     begins = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     size = np.diff(np.append(begins, len(sig)))
+    needed = ~np.logical_and.reduceat(shorter, begins)
     gids, lists = [], []
-    for k in np.unique(size[(size > 1) & (size <= LIGHT)]):
-        members = uid[begins[size == k][:, None] + np.arange(k)]
+    for k in np.unique(size[(size > 1) & (size <= LIGHT) & needed]):
+        members = uid[begins[(size == k) & needed][:, None] + np.arange(k)]
         gid = mix(mix(members.astype(np.uint64)).sum(axis=1, dtype=np.uint64) + U(k))
         first = np.unique(gid, return_index=True)[1]
         gids.append(gid[first].astype(np.int64))
         lists.extend(members[first].tolist())
     light = pd.DataFrame({"gid": np.concatenate(gids) if gids else np.zeros(0, np.int64)})
-    light["uid"], light["members"] = -1, pd.Series(lists, dtype=object)
-    heavy = np.flatnonzero(np.repeat(size > LIGHT, size))
+    light["uid"], light["whole"], light["members"] = -1, True, pd.Series(lists, dtype=object)
+    heavy = np.flatnonzero(np.repeat((size > LIGHT) & needed, size))
     gid = mix((U(int(frame["bucket"].iloc[0])) << U(32)) + sig[heavy].astype(np.uint64) + FACTORS[50])
-    dense = pd.DataFrame({"gid": gid.astype(np.int64), "uid": uid[heavy], "members": pd.Series([None] * len(heavy), dtype=object)})
+    dense = pd.DataFrame({"gid": gid.astype(np.int64), "uid": uid[heavy], "whole": ~shorter[heavy], "members": pd.Series([None] * len(heavy), dtype=object)})
     return pd.concat([light, dense]) if len(heavy) else light
 
 
@@ -295,10 +334,10 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     of units, and those are kept. Nothing is capped.
 
     Links: copies of a set are one class first. Candidates are then compared in rounds: each class with the smallest leader of
-    its groups, then what is still apart within a group: all of a light group, and a
-    few leaders at a time of a heavy one. Pairs that are already connected are never compared, so a
+    its groups, then what is still apart within a group: all of a light group, and of a heavy one
+    ``LEADERS`` wholes, ``GROWTH`` times as many in each further round, so that rounds grow with the logarithm of a group. Pairs that are already connected are never compared, so a
     group of thousands of near copies costs about one comparison for each. Sizes and parity sketches, whose distance is a lower
-    bound of the sets' difference, rule out most unlike pairs first. Each comparison left is exact, of whole sets
+    bound of the sets' difference, rule out most unlike pairs first: folded ones as a pair is made, whole ones before texts move. Each comparison left is exact, of whole sets
     (hashed to 48 bits per shingle).
 
     A text that is NULL, empty or blank has the empty set and links with nothing: its component is
@@ -324,18 +363,22 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     buckets = max(4 * parts, -(-volume // BUCKET_TEXT_BYTES))
     packed = rows.select("uid", "text").mapInPandas(
         _index(percent, buckets), "bucket int, base long, wide boolean, sigs binary, owners binary")
-    groups = stored(packed.groupBy("bucket").applyInPandas(_groups, "gid long, uid long, members array<long>"), "join-groups")
+    groups = stored(packed.groupBy("bucket").applyInPandas(_groups, "gid long, uid long, whole boolean, members array<long>"), "join-groups")
 
     light = groups.where("members is not null").groupBy("gid").agg(F.first("members").alias("members"))
     light = light.select("gid", F.explode("members").alias("uid"))
-    heavy = groups.where("members is null").select("gid", "uid")
+    heavy = groups.where("members is null").select("gid", "uid", "whole")
     crowded = heavy.groupBy("uid").agg(F.count("*").alias("lost"))
     short = crowded.join(reps, "uid").where("spare < lost * weight").select("uid")
-    heavy = heavy.join(short, "uid").select("gid", "uid")
-    members = light.withColumn("light", F.lit(True)).unionByName(heavy.withColumn("light", F.lit(False)))
-    members = members.join(reps.select("uid", "rep"), "uid").select("gid", "rep", "light").distinct()
-    lonely = members.groupBy("gid").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("gid")
-    members = stored(members.join(lonely, "gid"), "join-members")
+    heavy = heavy.join(short, "uid").select("gid", "uid", "whole")
+    members = light.withColumns({"light": F.lit(True), "whole": F.lit(True)}).unionByName(heavy.withColumn("light", F.lit(False)))
+    members = members.join(reps.select("uid", "rep"), "uid").groupBy("gid", "rep", "light").agg(F.max("whole").alias("whole"))
+    # of groups with the same members one stays; copies that share all segments make one group, not one per segment
+    prints = members.groupBy("gid").agg(
+        F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.max("whole").alias("any"), F.count("*").alias("size"),
+        F.bit_xor(F.xxhash64("rep", "whole")).alias("p"), F.bit_xor(F.xxhash64(F.lit(7), "rep", "whole")).alias("q"))
+    different = prints.where("lo < hi and any").groupBy("size", "p", "q").agg(F.min("gid").alias("gid")).select("gid")
+    members = stored(members.join(different, "gid"), "join-members")
 
     wanted = members.select("rep").distinct()
     wanted = reps.where("uid = rep").join(wanted, "rep").select("rep", F.col("mark").alias("own"))
@@ -344,6 +387,9 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     texts = stored(texts.select("rep", "text"), "join-texts", by="rep")
     outlines = stored(sizes.join(wanted.select("rep"), sizes["uid"] == F.col("rep")).select("rep", "n", "sketch"), "join-outlines")
 
+    coarse = stored(outlines.select("rep", "n", *folded(F.col("sketch"))), "join-coarse")
+    shape = ["n", *(f"s{j}" for j in range(COARSE))]
+
     def outlined(pairs: DataFrame) -> DataFrame:
         """The pairs that sizes and sketches don't rule out."""
         left = outlines.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
@@ -371,7 +417,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     leader = members.groupBy("gid").agg(F.min("rep").alias("leader"))
     pairs = members.join(leader, "gid").groupBy("rep").agg(F.min("leader").alias("a")).where("a < rep")
     pairs = stored(pairs.select("a", F.col("rep").alias("b")), "join-pairs")
-    tested = pairs
+    tested, width = pairs, LEADERS
     while True:
         likely = outlined(pairs)
         if not likely.isEmpty():  # else nothing new is connected
@@ -383,15 +429,18 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
 
         open_ = members.join(roots.withColumnRenamed("node", "rep"), "rep")
         apart = open_.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("gid")
-        open_ = stored(open_.join(apart, "gid"), "join-open")
-        left = open_.select("gid", F.col("rep").alias("a"), F.col("root").alias("ra"), "light")
-        right = open_.select("gid", F.col("rep").alias("b"), F.col("root").alias("rb"))
-        few = left.where("light").join(right, "gid").where("a < b and ra <> rb")  # at most LIGHT members
+        open_ = stored(open_.join(apart, "gid").join(coarse, "rep"), "join-open")
+        left = open_.select("gid", F.col("rep").alias("a"), F.col("root").alias("ra"), "light", "whole", *shape)
+        right = open_.select("gid", F.col("rep").alias("b"), F.col("root").alias("rb"), *shape).alias("y")
+        near = may_link_coarse(percent, "x", "y") & (F.col("ra") != F.col("rb"))
+        few = left.where("light").alias("x").join(right, (F.col("x.gid") == F.col("y.gid")) & (F.col("a") < F.col("b")) & near)
         share = left.where("not light").groupBy("gid", "ra").agg(F.count("*").alias("of_root"))
-        # leaders: from the rarest components, one of each of several hash classes, by map-side minima
-        leaders = left.where("not light").join(share, ["gid", "ra"]).groupBy("gid", F.pmod(F.xxhash64("a"), F.lit(LEADERS)).alias("class"))
-        leaders = stored(leaders.agg(F.min(F.struct("of_root", "a", "ra")).alias("l")).select("gid", "l.a", "l.ra"), "join-leaders")
-        many = leaders.join(right, "gid").where("ra <> rb")
+        # leaders: wholes from the rarest components, one of each of several hash classes, by map-side minima
+        leaders = left.where("not light and whole").join(share, ["gid", "ra"]).groupBy(
+            "gid", F.pmod(F.xxhash64("a"), F.lit(width)).alias("class"))
+        leaders = stored(leaders.agg(F.min(F.struct("of_root", "a", "ra", *shape)).alias("l")).select(
+            "gid", "l.a", "l.ra", *(f"l.{c}" for c in shape)), "join-leaders")
+        many = leaders.alias("x").join(right, (F.col("x.gid") == F.col("y.gid")) & near)
         candidates = few.select("a", "b").unionByName(
             many.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
         pairs = stored(candidates.join(tested, ["a", "b"], "left_anti"), "join-pairs")
@@ -399,8 +448,9 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
         # light groups are settled by this; leaders have then met all others of their group
         spent = leaders.select("gid", F.col("a").alias("rep"))
         rest = open_.where("not light").join(spent, ["gid", "rep"], "left_anti")
-        divided = rest.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("gid")
-        members = stored(rest.join(divided, "gid").select("gid", "rep", "light"), "join-members")
+        divided = rest.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("whole").alias("any"))
+        members = stored(rest.join(divided.where("lo < hi and any").select("gid"), "gid").select("gid", "rep", "light", "whole"), "join-members")
+        width *= GROWTH
         if pairs.isEmpty() and members.isEmpty():
             break
 
