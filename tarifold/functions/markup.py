@@ -12,6 +12,7 @@ import html as references
 import re
 import sys
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -31,6 +32,10 @@ IMPLIED = {
     "p": ({"p"}, {"div", "td", "th", "li", "section", "article"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"}),
 }
 
+# What is cut into tokens and elements before it is handed on.
+PAGES_PER_RUN = 256
+CHARACTERS_PER_RUN = 1 << 20
+
 _TOKEN = re.compile(TOKEN)
 _NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -55,22 +60,26 @@ def _cut(html: str) -> tuple[list[str], list[str]]:
     return tokens, [*gaps, html[at:]]
 
 
-def _walk(tokens: list[str]) -> list[dict]:
-    """Elements in page order. A closing tag also ends what is open inside its element, and is nothing where none is open."""
-    nodes, stack, held = [], [], Counter()
+def _walk(tokens: list[str], nodes: dict[str, list] | None = None) -> list[str]:
+    """Elements in page order, appended to the columns of ``nodes``, of which that of the tags is returned. A closing tag also
+    ends what is open inside its element, and is nothing where none is open."""
+    nodes = {field.name: [] for field in _NODE} if nodes is None else nodes
+    close, last, after, names = nodes["close"], nodes["last"], nodes["after"], nodes["name"]
+    base, stack, held = len(names), [], Counter()
 
     def end(i: int, place: int, closes: bool) -> None:
+        count = len(names) - base
         for n in range(place, len(stack)):
-            node = nodes[stack[n]]
-            node |= {"close": i, "last": i if closes and n == place else i - 1, "after": len(nodes)}
-            held[node["name"]] -= 1
+            node = stack[n]
+            close[node], last[node], after[node] = i, i if closes and n == place else i - 1, count
+            held[names[node]] -= 1
         del stack[place:]
 
     def opened(wanted: set[str], up_to: set[str]) -> int | None:
         """Where the last wanted element is open, unless one of the others was opened since."""
         if any(held[w] for w in wanted):
             for n in range(len(stack) - 1, -1, -1):
-                name = nodes[stack[n]]["name"]
+                name = names[stack[n]]
                 if name in wanted:
                     return n
                 if name in up_to:
@@ -86,32 +95,87 @@ def _walk(tokens: list[str]) -> list[dict]:
         if place is not None:
             end(i, place, closes)
         if not closes:
-            nodes.append({"open": i, "close": i, "last": i, "at": len(nodes), "after": len(nodes) + 1, "tag": token, "name": name})
+            at = len(names) - base
+            nodes["open"].append(i)
+            close.append(i)
+            last.append(i)
+            nodes["at"].append(at)
+            after.append(at + 1)
+            nodes["tag"].append(token)
+            names.append(name)
             if not (name in VOID or name in ("script", "style") or token.endswith("/>")):
-                stack.append(len(nodes) - 1)
+                stack.append(base + at)
                 held[name] += 1
     end(len(tokens), 0, False)
-    return nodes
+    return nodes["tag"]
 
 
-def _attributes(tag: str) -> dict:
-    """Attributes of an opening tag, quoted or not, references decoded; ``classes`` with a space around each."""
+def _attributes(tag: str) -> tuple[list[str], list[str], str]:
+    """Names and values of an opening tag's attributes, quoted or not, references decoded; its classes with a space around each."""
     end = tag.find(">") if tag[:7].lower() in ("<script", "<style") else len(tag)
     found = _ATTRIBUTE.findall(tag, _NAME.match(tag).end(), end) if "=" in tag[:end] else []
     names = [name.lower() for name, _ in found]
     values = [references.unescape(v[1:-1] if v[:1] in ("'", '"') else v) for _, v in found]
     classes = values[names.index("class")].split() if "class" in names else []
-    return {"names": names, "values": values, "classes": f" {' '.join(classes)} "}
+    return names, values, f" {' '.join(classes)} "
+
+
+def _lists(flat: list | pa.Array, ends: list[int], kind: pa.DataType) -> pa.Array:
+    """Consecutive runs of ``flat``, each up to its end, as one array of lists."""
+    values = flat if isinstance(flat, pa.Array) else pa.array(flat, kind)
+    return pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), values, pa.list_(kind))
+
+
+def _pages(texts: list[str]) -> pa.Array:
+    """``_PAGE`` rows, built column by column."""
+    tokens, gaps, words, token_ends, gap_ends, node_ends = [], [], [], [], [], []
+    nodes = {field.name: [] for field in _NODE}
+    for text in texts:
+        cut, between = _cut(text)
+        _walk(cut, nodes)
+        tokens += cut
+        gaps += between
+        words += [references.unescape(g).strip() for g in between]
+        token_ends.append(len(tokens))
+        gap_ends.append(len(gaps))
+        node_ends.append(len(nodes["tag"]))
+    ends, read = [], {}
+    for tag in nodes["tag"]:
+        found = read.get(tag)
+        if found is None:
+            found = read[tag] = _attributes(tag)
+        names, values, classes = found
+        nodes["names"] += names
+        nodes["values"] += values
+        nodes["classes"].append(classes)
+        ends.append(len(nodes["names"]))
+    string = pa.string()
+    columns = [_lists(nodes[f.name], ends, string) if f.type == _TEXTS else pa.array(nodes[f.name], f.type) for f in _NODE]
+    elements = _lists(pa.StructArray.from_arrays(columns, fields=list(_NODE)), node_ends, _NODE)
+    lists = [_lists(tokens, token_ends, string), _lists(gaps, gap_ends, string), _lists(words, gap_ends, string), elements]
+    return pa.StructArray.from_arrays(lists, fields=list(_PAGE))
+
+
+def _runs(html: pa.Array) -> Iterator[list[str]]:
+    """The texts of a batch in runs of a bounded size, at least one text each."""
+    run, size = [], 0
+    for text in html:
+        text = text.as_py() or ""
+        if run and (len(run) == PAGES_PER_RUN or size + len(text) > CHARACTERS_PER_RUN):
+            yield run
+            run, size = [], 0
+        run.append(text)
+        size += len(text)
+    if run:
+        yield run
 
 
 @F.arrow_udf(from_arrow_type(_PAGE))
-def _page(html: pa.Array) -> pa.Array:
-    pages = []
-    for text in html:
-        tokens, gaps = _cut(text.as_py() or "")
-        texts = [references.unescape(g).strip() for g in gaps]
-        pages.append({"tokens": tokens, "gaps": gaps, "texts": texts, "nodes": [n | _attributes(n["tag"]) for n in _walk(tokens)]})
-    return pa.array(pages, _PAGE)
+def _page(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    # A page's tokens and elements are many times its text, so a batch is given back in parts and never held whole.
+    for html in batches:
+        for run in _runs(html):
+            yield _pages(run)
 
 
 def with_page(pages: DataFrame, html: str = "html") -> DataFrame:
