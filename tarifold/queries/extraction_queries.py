@@ -43,8 +43,13 @@ FROM part
 """
 
 
+def shop_pages(t):
+    """The shop pages; the parts are dealt out before a page is built from each."""
+    return t.sql(HTML, spread="part")
+
+
 def pages(t):
-    return markup.with_page(t.sql(HTML))
+    return markup.with_page(shop_pages(t))
 
 
 def landed(t):
@@ -235,7 +240,7 @@ def _(t):
 
 @query("valid_products", f"SELECT ord FROM ({HTML}) h WHERE {_PRICE} IS NOT NULL")
 def _(t):
-    return extract.extract_products(t.sql(HTML)).select("ord")
+    return extract.extract_products(shop_pages(t)).select("ord")
 
 
 @query("page_scan", f"""WITH h AS ({HTML}), f AS ({_MERGED})
@@ -245,7 +250,7 @@ SELECT ord, url, {_TITLE} AS title, {_SKU} AS sku, CASE p_size % 5 WHEN 0 THEN '
   CASE p_size % 5 WHEN 0 THEN '87' || CAST(p_partkey AS VARCHAR) WHEN 2 THEN 'GT' || CAST(p_size AS VARCHAR) ELSE '' END AS gtin,
   CASE WHEN p_size % 5 = 0 THEN 'InStock' ELSE '' END AS availability FROM h JOIN f USING (ord) WHERE {_PRICE} IS NOT NULL""")
 def _(t):
-    found = extract.extract_products(t.sql(HTML))
+    found = extract.extract_products(shop_pages(t))
     return found.select("ord", "url", "title", "sku", "brand", "price_raw", "description_nl", join("images").alias("images"),
                         join("breadcrumbs").alias("breadcrumbs"), "fitment.*", "product_type", "gtin", "availability")
 
