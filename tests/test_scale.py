@@ -3,6 +3,7 @@
 import pyarrow as pa
 
 from tarifold.functions import markup
+from tarifold.operators import offers
 from tarifold.queries import extraction_queries, registry
 
 
@@ -41,3 +42,34 @@ def test_pages_of_a_run_keep_to_themselves():
     assert [(n["at"], n["after"], n["close"], n["last"]) for n in pages[0]["nodes"]] == [(0, 2, 2, 1), (1, 2, 2, 1)]
     assert pages[2]["nodes"][0]["at"] == 0 and pages[2]["tokens"] == ["</ul>", "<p>"]
     assert pages[0]["nodes"][1]["classes"] == " a b " and pages[1]["gaps"] == [""]
+
+
+def test_payloads_of_other_stores_are_not_parsed_for_a_format(spark):
+    seen = {}
+
+    def reader(name, read):
+        def wrapped(payloads, competitors):
+            seen[name] = sorted(r["domain"] for r in payloads.select("domain").distinct().collect())
+            return read(payloads, competitors)
+        return wrapped
+
+    config = spark.createDataFrame(
+        [(1, "a", "shopify"), (2, "b", "woocommerce"), (3, "c", "auto"), (4, "d", None), (4, "d", None)], "comp_ord int, domain string, type string",
+    ).selectExpr("*", "CAST(NULL AS STRING) AS name", "CAST(NULL AS STRING) AS market", "CAST(NULL AS STRING) AS currency", "CAST(NULL AS BOOLEAN) AS includes_vat")
+    shop = '{"products":[{"title":"t","variants":[{"sku":"s","price":"2.5"}]}]}'
+    woo = '[{"name":"n","sku":"k","prices":{"price":"250"}}]'
+    layout = "domain string, page_no int, status int, payload string"
+    landed = {
+        "shopify": spark.createDataFrame([(d, 1, 200, shop if d != "d" else "{}") for d in "abcd"], layout),
+        "woocommerce": spark.createDataFrame([(d, 1, 200, woo) for d in "abcd"], layout),
+    }
+    formats = dict(offers._FORMATS)
+    try:
+        for name, read in formats.items():
+            offers.register_offer_format(name, reader(name, read))
+        found = offers.collect_offers(landed, config)
+        rows = sorted((r["domain"], r["title"], r["price_raw"]) for r in found.collect())
+    finally:
+        offers._FORMATS.update(formats)
+    assert seen == {"shopify": ["a", "c", "d"], "woocommerce": ["b", "d"]}
+    assert rows == [("a", "t", 2.5), ("b", "n", 2.5), ("c", "t", 2.5), ("d", "n", 2.5), ("d", "n", 2.5)]
