@@ -1,10 +1,14 @@
 """What keeps work spread and memory bounded, whatever the size of the tables."""
 
+import time
+
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from tarifold.functions import markup
+from tarifold.functions import markup, wording
 from tarifold.operators import offers
 from tarifold.queries import extraction_queries, registry
+from tarifold.session import ensure_checkpoint_dir
 
 
 def parts(spark, folder, n):
@@ -73,3 +77,22 @@ def test_payloads_of_other_stores_are_not_parsed_for_a_format(spark):
         offers._FORMATS.update(formats)
     assert seen == {"shopify": ["a", "c", "d"], "woocommerce": ["b", "d"]}
     assert rows == [("a", "t", 2.5), ("b", "n", 2.5), ("c", "t", 2.5), ("d", "n", 2.5), ("d", "n", 2.5)]
+
+
+def test_an_answer_is_cut_once_however_many_texts_it_holds(spark):
+    def seconds(n):
+        answers = spark.range(1).select(F.concat(*[F.lit(f"[{k + 1}] " + "text " * 4000) for k in range(n)]).alias("a")).checkpoint()
+        blocks = answers.select(wording.numbered_blocks(F.col("a"), F.lit(n)).alias("b"))
+        start = time.perf_counter()
+        assert blocks.first()["b"] == [("text " * 4000).strip()] * n
+        return time.perf_counter() - start
+
+    ensure_checkpoint_dir(spark)
+    seconds(2)
+    assert seconds(200) < 15  # 4 MB; 800 MB where each number cuts the answer again
+
+
+def test_answers_without_numbers(spark):
+    rows = spark.createDataFrame([("[2] b [1] a [2] c", 3), ("none", 2), (None, 2), ("[1] x", 0)], "a string, n int").coalesce(1)
+    got = [r["b"] for r in rows.select(wording.numbered_blocks(F.col("a"), F.col("n")).alias("b")).collect()]
+    assert got == [["a", "c", ""], ["", ""], ["", ""], []]
