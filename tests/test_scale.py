@@ -1,11 +1,13 @@
 """What keeps work spread and memory bounded, whatever the size of the tables."""
 
+import random
 import time
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tarifold.functions import markup, wording
+from tarifold.functions import markup, similarity, wording
 from tarifold.operators import offers
 from tarifold.queries import extraction_queries, registry
 from tarifold.session import ensure_checkpoint_dir
@@ -96,3 +98,26 @@ def test_answers_without_numbers(spark):
     rows = spark.createDataFrame([("[2] b [1] a [2] c", 3), ("none", 2), (None, 2), ("[1] x", 0)], "a string, n int").coalesce(1)
     got = [r["b"] for r in rows.select(wording.numbered_blocks(F.col("a"), F.col("n")).alias("b")).collect()]
     assert got == [["a", "c", ""], ["", ""], ["", ""], []]
+
+
+def test_subsequences_across_words_and_steps(monkeypatch):
+    def lcs(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+        return row[-1]
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("ab cé") for _ in range(n)) for n in (1, 63, 64, 65, 128, 129, 200)] + ["a" * 64, "a" * 130]
+    pairs = [(a, b) for a in texts for b in texts]
+    monkeypatch.setattr(similarity, "PAIRS_PER_STEP", 7)
+    got = similarity.pair_scores(pd.Series([a for a, _ in pairs]), pd.Series([b for _, b in pairs]))
+    assert list(got) == [2.0 * lcs(a, b) / (len(a) + len(b)) for a, b in pairs]
+
+
+def test_a_word_of_all_masks_is_read_as_it_lies_in_memory():
+    encoded = similarity.Encoded(["a" * 100, "b"], similarity.alphabet_of(["ab"]))
+    masks = similarity.position_masks(encoded, 2)
+    assert masks.shape == (2, 3, 2) and all(masks[:, :, w].flags.c_contiguous for w in range(2))
