@@ -18,15 +18,18 @@ from .hashing import FACTORS, U, chunks, mix, pair_chunks, shingle_sets
 #: Groups of at most this many members are held together as one row; larger ones are split up.
 LIGHT = 32
 #: Members of a larger group that are compared with all its others in the first round, and how their number grows by round.
-LEADERS, GROWTH = 32, 8
+LEADERS, GROWTH = 8, 16
 #: Comparisons with one leader that one task is given.
 PER_LEADER = 256
 #: Independent partitions of the universe that a set goes through until its segments suffice.
 FAMILIES = 4
-#: 64-bit words of the folded sketch that pairs are held against while they are made; no sketch is shorter.
-COARSE = 4
+#: 64-bit words of the folded sketch that pairs are held against while they are made; no sketch is shorter. Too few, and
+#: near copies that don't link pass by the square of their number, once for each group they share.
+COARSE = 16
 #: Entries (hash and row number) of one bucket, as the buckets' number is chosen from the input's size.
 BUCKET_TEXT_BYTES = 8 << 20
+#: Bytes of text whose index entries a task holds at once.
+INDEX_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -245,6 +248,27 @@ def _sizes(percent: int):
     return run
 
 
+def _packed(texts: list[bytes], uid: np.ndarray, percent: int, buckets: int) -> pd.DataFrame:
+    """Index entries of some texts, one row per bucket."""
+    found, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for first, part in chunks(texts):
+        sig, own = entries(*shingle_sets(part), percent)[:2]
+        found.append(sig)
+        owner.append(own + first)
+    sig, own = np.concatenate(found), np.concatenate(owner)
+    bucket = ((sig >> U(32)) % U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    rows = []
+    base = int(uid.min()) if len(uid) else 0
+    wide = len(uid) > 0 and int(uid.max()) - base >= 1 << 16
+    small = (uid - base).astype(np.uint32 if wide else np.uint16)
+    for b in np.flatnonzero(np.diff(ends)):
+        at = order[ends[b]:ends[b + 1]]
+        rows.append((int(b), base, wide, sig[at].astype(np.uint32).tobytes(), small[own[at]].tobytes()))
+    return pd.DataFrame(rows, columns=["bucket", "base", "wide", "sigs", "owners"])
+
+
 def _index(percent: int, buckets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -253,23 +277,8 @@ def _index(percent: int, buckets: int):
             seen: dict[bytes, int] = {}  # equal texts of a batch are indexed once
             keep = [i for i, t in enumerate(texts) if seen.setdefault(t, i) == i]
             texts, uid = [texts[i] for i in keep], uid[keep]
-            found, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for first, part in chunks(texts):
-                sig, own = entries(*shingle_sets(part), percent)[:2]
-                found.append(sig)
-                owner.append(own + first)
-            sig, own = np.concatenate(found), np.concatenate(owner)
-            bucket = ((sig >> U(32)) % U(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            rows = []
-            base = int(uid.min()) if len(uid) else 0
-            wide = len(uid) > 0 and int(uid.max()) - base >= 1 << 16
-            small = (uid - base).astype(np.uint32 if wide else np.uint16)
-            for b in np.flatnonzero(np.diff(ends)):
-                at = order[ends[b]:ends[b + 1]]
-                rows.append((int(b), base, wide, sig[at].astype(np.uint32).tobytes(), small[own[at]].tobytes()))
-            yield pd.DataFrame(rows, columns=["bucket", "base", "wide", "sigs", "owners"])
+            for begin, run in chunks(texts, INDEX_BYTES):
+                yield _packed(run, uid[begin:begin + len(run)], percent, buckets)
 
     return run
 
@@ -335,7 +344,8 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
 
     Links: copies of a set are one class first. Candidates are then compared in rounds: each class with the smallest leader of
     its groups, then what is still apart within a group: all of a light group, and of a heavy one
-    ``LEADERS`` wholes, ``GROWTH`` times as many in each further round, so that rounds grow with the logarithm of a group. Pairs that are already connected are never compared, so a
+    ``LEADERS`` wholes, ``GROWTH`` times as many in each further round, so that rounds grow with the logarithm of a group. Heavy groups
+    of one smallest member are one group: near copies share many groups, and each would make their pairs again. Pairs that are already connected are never compared, so a
     group of thousands of near copies costs about one comparison for each. Sizes and parity sketches, whose distance is a lower
     bound of the sets' difference, rule out most unlike pairs first: folded ones as a pair is made, whole ones before texts move. Each comparison left is exact, of whole sets
     (hashed to 48 bits per shingle).
@@ -377,8 +387,10 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     prints = members.groupBy("gid").agg(
         F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.max("whole").alias("any"), F.count("*").alias("size"),
         F.bit_xor(F.xxhash64("rep", "whole")).alias("p"), F.bit_xor(F.xxhash64(F.lit(7), "rep", "whole")).alias("q"))
-    different = prints.where("lo < hi and any").groupBy("size", "p", "q").agg(F.min("gid").alias("gid")).select("gid")
-    members = stored(members.join(different, "gid"), "join-members")
+    different = prints.where("lo < hi and any").groupBy("size", "p", "q").agg(F.min("gid").alias("gid"), F.min("lo").alias("lo")).select("gid", "lo")
+    # heavy groups of one smallest member become one: pairs of a group stay in a group, and are made once, not once per group
+    members = members.join(different, "gid").withColumn("gid", F.when(F.col("light"), F.col("gid")).otherwise(F.xxhash64("lo")))
+    members = stored(members.groupBy("gid", "rep", "light").agg(F.max("whole").alias("whole")), "join-members")
 
     wanted = members.select("rep").distinct()
     wanted = reps.where("uid = rep").join(wanted, "rep").select("rep", F.col("mark").alias("own"))

@@ -117,6 +117,31 @@ def test_ngram_join_of_unlike_texts_that_share_a_phrase(spark, tmp_path):
         (d, len(grams(t)), linked.get(d, d)) for d, t in rows)
 
 
+def test_ngram_join_makes_a_near_pair_once_not_once_per_group(spark, tmp_path, monkeypatch):
+    """Near copies on both sides of the threshold share hundreds of groups; what their joins may look at grows with the texts."""
+    random = np.random.default_rng(8)
+    base = [f"w{random.integers(10**6)}" for _ in range(300)]
+    rows = []
+    for i in range(200):
+        text = [*base]
+        for j in random.choice(300, random.integers(3, 9), replace=False):
+            text[j] = f"x{random.integers(10**6)}"
+        rows.append((i, " ".join(text)))
+    kept = []
+
+    def noted(df, name, by=None, _stored=ngram_join.stored):
+        kept.append((name, table := _stored(df, name, by)))
+        return table
+
+    monkeypatch.setattr(ngram_join, "stored", noted)
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/d")
+    found = ngram_join.jaccard_components(spark.read.parquet(f"{tmp_path}/d")).collect()
+    assert Counter((r["id"], r["n_shingles"], r["component_id"]) for r in found) == brute_components(rows)
+    members = next(table for name, table in kept if name == "join-members")
+    sizes = [r["count"] for r in members.where("not light").groupBy("gid").count().collect()]
+    assert sizes and sum(sizes) <= 25 * len(rows)
+
+
 def test_ngram_join_of_long_near_copies(spark, tmp_path):
     """Two texts of 600 KB each, together more than is hashed at once."""
     words = [f"long{i:06d}" for i in range(600_000 // 11)]
