@@ -30,6 +30,8 @@ COARSE = 16
 BUCKET_TEXT_BYTES = 8 << 20
 #: Bytes of text whose index entries a task holds at once.
 INDEX_BYTES = 4 << 20
+#: 64-bit words of the bit table that tells, before any text moves, which ones a round asks for; at most so many rows are broadcast.
+MARKED = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -177,13 +179,13 @@ def entries(sets: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray,
 
 
 def sketches(sets: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """Per set the parities of how many elements fall to each of 4 n (up to a power of two, 256 at least) places, as 64-bit words.
+    """Per set the parities of how many elements fall to each of n (up to a power of two, 64 ``COARSE`` at least) places, as 64-bit words.
 
     Two sets differ in at least as many elements as their sketches (of one length) differ in bits. A longer
     sketch is folded to half its length by xor of its halves.
     """
     n = np.diff(at)
-    bits = np.maximum(64 * COARSE, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
+    bits = np.maximum(64 * COARSE, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
     begins = np.concatenate([[0], np.cumsum(bits // 64)])
     owner = np.repeat(np.arange(len(n)), n)
     place = (mix(sets + FACTORS[44]) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
@@ -313,6 +315,23 @@ def _groups(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([light, dense]) if len(heavy) else light
 
 
+def asked_for(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of ``rows`` (uid, mark, text) those whose ``uid`` and ``mark`` are ``rep`` and ``mark`` in ``wanted``, as (rep, text).
+
+    A table of at most ``MARKED`` rows of 64 bits, one bit for the hash of each wanted row, goes to all tasks and rules
+    out nearly all others before they are dealt by key; where it is too full to do so, they move and the join drops them.
+    """
+    def place(uid: str) -> Column:
+        return F.pmod(F.xxhash64(uid), F.lit(64 * MARKED))
+
+    bits = wanted.select(place("rep").alias("place")).select(
+        F.shiftright("place", 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("place", F.lit(64)).cast("int")).alias("bit"))
+    bits = bits.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    likely = rows.withColumns({"word": F.shiftright(place("uid"), 6), "at": F.pmod(place("uid"), F.lit(64)).cast("int")})
+    likely = likely.join(F.broadcast(bits), "word").where(F.getbit("bits", F.col("at")) == 1).select("uid", F.col("mark").alias("own"), "text")
+    return likely.join(wanted, (F.col("uid") == F.col("rep")) & (F.col("own") == F.col("mark"))).select("rep", "text")
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -347,13 +366,13 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     ``LEADERS`` wholes, ``GROWTH`` times as many in each further round, so that rounds grow with the logarithm of a group. Heavy groups
     of one smallest member are one group: near copies share many groups, and each would make their pairs again. Pairs that are already connected are never compared, so a
     group of thousands of near copies costs about one comparison for each. Sizes and parity sketches, whose distance is a lower
-    bound of the sets' difference, rule out most unlike pairs first: folded ones as a pair is made, whole ones before texts move. Each comparison left is exact, of whole sets
-    (hashed to 48 bits per shingle).
+    bound of the sets' difference, rule out most unlike pairs first: folded ones as a pair is made, whole ones before texts move.
+    Each comparison left is exact, of whole sets (hashed to 48 bits per shingle); a round moves the texts of its own pairs only.
 
     A text that is NULL, empty or blank has the empty set and links with nothing: its component is
     its own id. Rows of equal id and text are rows like others; a NULL id never names a
-    component unless all ids of it are NULL. Empty table: empty result. ``docs`` is read three times and should be a
-    stored table, whose rows keep their order.
+    component unless all ids of it are NULL. Empty table: empty result. ``docs`` is read twice, and once a round that compares
+    texts; it should be a stored table, whose rows keep their order.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -393,11 +412,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     members = stored(members.groupBy("gid", "rep", "light").agg(F.max("whole").alias("whole")), "join-members")
 
     wanted = members.select("rep").distinct()
-    wanted = reps.where("uid = rep").join(wanted, "rep").select("rep", F.col("mark").alias("own"))
-    # the mark is no join key: rows are then dealt by rep alone, as the buckets are, and each bucket is one file
-    texts = rows.join(wanted, (rows["uid"] == F.col("rep")) & (rows["mark"].bitwiseXOR(F.col("own")) == 0))
-    texts = stored(texts.select("rep", "text"), "join-texts", by="rep")
-    outlines = stored(sizes.join(wanted.select("rep"), sizes["uid"] == F.col("rep")).select("rep", "n", "sketch"), "join-outlines")
+    outlines = stored(sizes.join(wanted, sizes["uid"] == F.col("rep")).select("rep", "mark", "n", "sketch"), "join-outlines")
 
     coarse = stored(outlines.select("rep", "n", *folded(F.col("sketch"))), "join-coarse")
     shape = ["n", *(f"s{j}" for j in range(COARSE))]
@@ -411,7 +426,9 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
 
     def verified(sized: DataFrame) -> DataFrame:
         """(a, b) of the pairs that link. Of a pair, the one that is in more pairs sends its text once per ``PER_LEADER`` of them."""
-        often = sized.select(F.explode(F.array("a", "b")).alias("x")).groupBy("x").agg(F.count("*").alias("times"))
+        often = stored(sized.select(F.explode(F.array("a", "b")).alias("x")).groupBy("x").agg(F.count("*").alias("times")), "join-often")
+        asked = often.select(F.col("x").alias("rep")).join(outlines.select("rep", "mark"), "rep")
+        texts = stored(asked_for(rows, stored(asked, "join-asked")), "join-texts")
         turned = sized.join(often.select(F.col("x").alias("a"), F.col("times").alias("ta")), "a").join(
             often.select(F.col("x").alias("b"), F.col("times").alias("tb")), "b")
         swap = F.col("tb") > F.col("ta")

@@ -142,6 +142,42 @@ def test_ngram_join_makes_a_near_pair_once_not_once_per_group(spark, tmp_path, m
     assert sizes and sum(sizes) <= 25 * len(rows)
 
 
+def test_ngram_join_moves_the_texts_of_its_pairs_only(spark, tmp_path, monkeypatch):
+    """Unlike texts that share a phrase are in groups, but sketches rule their pairs out before texts move; sketches don't outgrow their sets."""
+    random = np.random.default_rng(9)
+    footer = " ".join(f"f{i}" for i in range(60))
+    rows = [(i, " ".join(f"w{random.integers(10**6)}" for _ in range(90 + i % 7)) + " " + footer) for i in range(120)]
+    rows += [(500, rows[3][1] + " end"), (501, rows[4][1] + " close"), (502, " ".join(f"l{i}" for i in range(3000)))]
+    kept = []
+
+    def noted(df, name, by=None, _stored=ngram_join.stored):
+        kept.append((name, table := _stored(df, name, by)))
+        return table
+
+    monkeypatch.setattr(ngram_join, "stored", noted)
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/d")
+    found = ngram_join.jaccard_components(spark.read.parquet(f"{tmp_path}/d")).collect()
+    assert Counter((r["id"], r["n_shingles"], r["component_id"]) for r in found) == brute_components(rows)
+    pairs = [{x for r in table.collect() for x in r} for name, table in kept if name == "join-sized"]
+    texts = [[r["rep"] for r in table.collect()] for name, table in kept if name == "join-texts"]
+    assert texts and all(len(t) == len(set(t)) for t in texts)
+    assert [set(t) for t in texts] == [p for p in pairs if p]
+    grouped = next(table for name, table in kept if name == "join-members").select("rep").distinct().count()
+    assert max(map(len, texts)) <= 8 < grouped
+    sizes = next(table for name, table in kept if name == "join-sizes")
+    assert sizes.where(F.size("sketch") * 64 > F.greatest(F.lit(64 * ngram_join.COARSE), 2 * F.col("n"))).isEmpty()
+
+
+def test_asked_texts_are_exact_however_full_the_bit_table_is(spark, monkeypatch):
+    rows = spark.range(300).select(F.col("id").alias("uid"), (F.col("id") * 3).alias("mark"), F.concat(F.lit("t"), "id").alias("text"))
+    # a wanted row of another mark, or that isn't there, gets no text
+    wanted = spark.range(0, 400, 2).select(F.col("id").alias("rep"), F.when(F.col("id") == 10, -1).otherwise(F.col("id") * 3).alias("mark"))
+    for words in (1, 1 << 17):
+        monkeypatch.setattr(ngram_join, "MARKED", words)
+        got = ngram_join.asked_for(rows, wanted).collect()
+        assert Counter(map(tuple, got)) == Counter((i, f"t{i}") for i in range(0, 300, 2) if i != 10)
+
+
 def test_ngram_join_of_long_near_copies(spark, tmp_path):
     """Two texts of 600 KB each, together more than is hashed at once."""
     words = [f"long{i:06d}" for i in range(600_000 // 11)]
