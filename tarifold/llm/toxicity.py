@@ -118,7 +118,8 @@ def train(texts: list[str], labels: list[int], toxic_share: float,
     what is trained on the words that toxic documents hold far more often; a window then differs
     only where it has such content. None if a class is missing.
     """
-    docs = [word_list(t) for t in texts]
+    known: dict[bytes, bytes] = {}  # a word is held once, not once per occurrence
+    docs = [[known.setdefault(w, w) for w in word_list(t)] for t in texts]
     by_class = {c: _different([d for d, y in zip(docs, labels, strict=True) if y == c]) for c in (0, 1)}
     if min(map(len, by_class.values())) < 3:
         return None
